@@ -74,31 +74,31 @@ def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "month"
     none; negative rates are kept (op F1).
 
     Skew-safe: the window is partitioned by (series, time chunk), so a series
-    holding a third of all rows is spread over its chunks. The first row of each
-    chunk takes its predecessor from a per-chunk "last point" table (one row per
-    series and chunk), shifted by a window over that small table."""
-    df = time_range(df, start, stop).select(*SERIES, "ts_utc", "value")
-    df = df.withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz"))
+    holding a third of all rows is spread over its chunks. Each chunk's last
+    point (a map-side combined aggregate, one row per series and chunk) is
+    carried into the next non-empty chunk as a marker row, so one window pass
+    sees every predecessor; markers are dropped afterwards. No join."""
+    base = (time_range(df, start, stop).select(*SERIES, "ts_utc", "value")
+            .withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz")))
+    last = (base.groupBy(*SERIES, "_chunk")
+            .agg(F.max_by(F.struct("ts_utc", "value"), F.col("ts_utc")).alias("_last")))
+    nxt = F.lead("_chunk").over(Window.partitionBy(*SERIES).orderBy("_chunk"))
+    carry = (last.withColumn("_next", nxt).filter(F.col("_next").isNotNull())
+             .select(*SERIES, F.col("_last.ts_utc").alias("ts_utc"), F.col("_last.value").alias("value"),
+                     F.col("_next").alias("_chunk"), F.lit(True).alias("_marker")))
+    rows = base.withColumn("_marker", F.lit(False)).unionByName(carry)
     w = Window.partitionBy(*SERIES, "_chunk").orderBy("ts_utc")
-    inner = (df.withColumn("_pts", F.lag("ts_utc").over(w))
-               .withColumn("_pv", F.lag("value").over(w)))
-    last_in_chunk = (df.groupBy(*SERIES, "_chunk")
-                       .agg(F.max_by(F.struct("ts_utc", "value"), F.col("ts_utc")).alias("_last")))
-    wc = Window.partitionBy(*SERIES).orderBy("_chunk")
-    carry = (last_in_chunk.withColumn("_carry", F.lag("_last").over(wc))
-             .filter(F.col("_carry").isNotNull()).drop("_last"))
-    j = inner.join(carry, on=[*SERIES, "_chunk"], how="left")
-    prev_ts = F.coalesce(F.col("_pts"), F.col("_carry.ts_utc"))
-    prev_v = F.when(F.col("_pts").isNotNull(), F.col("_pv")).otherwise(F.col("_carry.value"))
-    elapsed = cal.days_between(prev_ts, F.col("ts_utc")) / F.lit(float(unit_days))
+    prev_ts, prev_v = F.lag("ts_utc").over(w), F.lag("value").over(w)
+    elapsed = cal.days_between(F.col("_pts"), F.col("ts_utc")) / F.lit(float(unit_days))
     return (
-        j.filter(prev_ts.isNotNull())
+        rows.withColumn("_pts", prev_ts).withColumn("_pv", prev_v)
+        .filter(~F.col("_marker") & F.col("_pts").isNotNull())
         .select(F.col("ts_utc").alias("time"),
                 F.year("ts_utc").cast("int").alias("year"),
                 F.month("ts_utc").cast("int").alias("month"),
                 F.dayofmonth("ts_utc").cast("int").alias("day"),
                 "pollutant_id", _sid(),
-                ((F.col("value") - prev_v) / elapsed).alias("daily_rate"))
+                ((F.col("value") - F.col("_pv")) / elapsed).alias("daily_rate"))
     )
 
 

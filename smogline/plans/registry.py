@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None = None, views: list[str] | None = Non
 
 
 # Import modules that register queries.
-from . import q_enrich, q_analyses, q_state, q_catalog  # noqa: E402,F401
+from . import q_enrich, q_analyses, q_state, q_catalog, q_misc  # noqa: E402,F401

@@ -45,7 +45,8 @@ def tag_rejects(raw: DataFrame, ts_col: str = "ts_utc") -> DataFrame:
               .when(v < 0, F.lit(R_NEGATIVE))
               .when(~is_finite(v), F.lit(R_NON_FINITE))
               .when(parsed.isNull(), F.lit(R_BAD_TS)))
-    return raw.withColumn("value", v).withColumn(ts_col, parsed).withColumn("reject", reject)
+    # Tag first: the rules read the input columns, not their cleaned forms.
+    return raw.withColumn("reject", reject).withColumn("value", v).withColumn(ts_col, parsed)
 
 
 def drop_rejects(raw: DataFrame, ts_col: str = "ts_utc") -> DataFrame:

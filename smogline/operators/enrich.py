@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions import calendar as cal
 from ..functions.numeric import nan_to_null
 from ..schemas import ENRICHED_COLUMNS
-from .joins import lookup
+from .joins import checked_broadcasts, lookup
 
 
 def extract_cutoff(since_days: int, today: _dt.date | None = None) -> str:
@@ -119,9 +119,10 @@ def enrich(fact: DataFrame, pollutants: DataFrame, stations: DataFrame,
            zones: DataFrame) -> DataFrame:
     """Left lookups of the three catalogues plus the compliance status.
     Joins run on integer keys; the station key becomes text only in the output."""
-    df = lookup(fact, pollutant_dim(pollutants), "pollutant_id")
-    df = lookup(df, station_dim(stations), "station_id")
-    df = lookup(df, zone_dim(zones), "zone_id")
+    p, s, z = checked_broadcasts([pollutant_dim(pollutants), station_dim(stations), zone_dim(zones)])
+    df = lookup(fact, p, "pollutant_id", checked=True)
+    df = lookup(df, s, "station_id", checked=True)
+    df = lookup(df, z, "zone_id", checked=True)
     return df.withColumn(
         "who_compliance_status",
         compliance_status("measurement_value", "who_daily_limit", "who_annual_limit"),

@@ -20,6 +20,21 @@ def checked_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(dim) if n <= max_rows else dim
 
 
+def checked_broadcasts(dims: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``checked_broadcast`` for several dimensions with one counting job."""
+    if not dims:
+        return []
+    parts = [d.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+             for i, d in enumerate(dims)]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    n = {r["i"]: r["n"] for r in counts.collect()}  # one row per dimension
+    return [F.broadcast(d) if n[i] <= max_rows else d for i, d in enumerate(dims)]
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return fact.join(checked_broadcast(dim, max_rows), on=on, how=how)
+           max_rows: int = MAX_BROADCAST_ROWS, checked: bool = False) -> DataFrame:
+    """Join a dimension; ``checked=True`` means the caller already applied the
+    size check (``checked_broadcasts``)."""
+    return fact.join(dim if checked else checked_broadcast(dim, max_rows), on=on, how=how)

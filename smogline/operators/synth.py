@@ -83,13 +83,27 @@ def series_plan(caps: DataFrame, stations_df: DataFrame, means: DataFrame, trend
             .filter(F.col("first_day") <= F.col("last_day"))
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def generator_partitions(plan: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Partitions for the exploded series: total generated days / rows per task,
+    at least the session's parallelism (one small aggregate over the plan)."""
+    total = plan.agg(F.sum(F.datediff("last_day", "first_day") + 1).alias("n")).first()["n"] or 0
+    cores = plan.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-int(total) // rows_per_task))
+
+
 def daily_series(plan: DataFrame, win: Window_, partitions: int | None = None) -> DataFrame:
     """Capabilities x days -> measurements (ops D6-D13, composed as D14)."""
     # One series is at most the calendar span in days (bounded, never skewed by
     # data volume), so series are the unit of parallelism; the spike window
-    # below reuses this partitioning.
-    spread = (plan.repartition(partitions, "station_id", "pollutant_id") if partitions
-              else plan.repartition("station_id", "pollutant_id"))
+    # below reuses this partitioning. The count is explicit (sized from the rows
+    # to be generated) because the plan itself is tiny and AQE would otherwise
+    # coalesce it into a single task before the explode.
+    if partitions is None:
+        partitions = generator_partitions(plan)
+    spread = plan.repartition(partitions, "station_id", "pollutant_id")
     days = spread.withColumn("d", F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))))
 
     m = F.col("annual_mean")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..session import ensure_checkpoint_dir
 from .cleaning import keep_one
 from .joins import checked_broadcast
 
@@ -63,6 +64,7 @@ def assign_surrogate_keys(df: DataFrame, order_cols: list[str], start: int = 0,
     partitions and cuts lineage), each partition's row count is aggregated
     (one row per partition), and its running offset is added to the position of
     the row inside its partition."""
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     pinned = ordered.checkpoint(eager=True)
     pos = (pinned.withColumn("_pid", F.spark_partition_id())

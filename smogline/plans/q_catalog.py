@@ -8,7 +8,7 @@ from .. import constants as K
 from ..operators import catalogs as CAT
 from ..operators import synth as SY
 from ..sources import base_csv as B
-from ..sources import driver_tables as dt
+from ..session import pin_table
 from .registry import register
 
 # Generator parameters of the registered run.
@@ -102,29 +102,33 @@ def with_base(sql: str) -> str:
     return f"WITH {BASE_CTE.strip()}\n{body}"
 
 
-def base(spark, sf_dir):
-    return B.typed_base(B.driver_base_rows(spark, sf_dir))
+def base(spark, sf_dir, pin: bool = True):
+    """Typed CSV rows. Several catalogues aggregate the same rows, so the parsed
+    base is written once to the shared checkpoint folder (reliable checkpoint,
+    lineage cut) instead of being re-joined and re-parsed per consumer."""
+    b = B.typed_base(B.driver_base_rows(spark, sf_dir))
+    return pin_table(b, "base_csv") if pin else b
 
 
-def zones_c(spark, sf_dir):
-    return CAT.zones(base(spark, sf_dir))
+def zones_c(spark, sf_dir, b=None):
+    return CAT.zones(b if b is not None else base(spark, sf_dir))
 
 
-def stations_c(spark, sf_dir):
-    b = base(spark, sf_dir)
-    return CAT.stations(b, CAT.zones(b), WIN.end_year, WIN.base_data_end)
+def stations_c(spark, sf_dir, b=None, zones=None):
+    b = b if b is not None else base(spark, sf_dir)
+    return CAT.stations(b, zones if zones is not None else CAT.zones(b), WIN.end_year, WIN.base_data_end)
 
 
-def caps_c(spark, sf_dir):
-    b = base(spark, sf_dir)
-    st = CAT.stations(b, CAT.zones(b), WIN.end_year, WIN.base_data_end)
+def caps_c(spark, sf_dir, b=None, stations=None):
+    b = b if b is not None else base(spark, sf_dir)
+    st = stations if stations is not None else stations_c(spark, sf_dir, b)
     return CAT.capabilities(spark, b, st)
 
 
 @register("base_rows_typed", with_base(f"SELECT {', '.join(BASE_COLS)} FROM base_t"), [])
 def q_base(spark, sf_dir):
     """CSV text -> typed rows: separators stripped, six known pollutants (A1, B1, B2)."""
-    return base(spark, sf_dir).select(*BASE_COLS)
+    return base(spark, sf_dir, pin=False).select(*BASE_COLS)
 
 
 @register("zone_keys", with_base("SELECT * FROM zones_c"), [])
@@ -155,22 +159,22 @@ def q_caps(spark, sf_dir):
     "SELECT station_key, pollutant_id, year, round(year_mean, 6) AS year_mean FROM ym"), [])
 def q_yearly_means(spark, sf_dir):
     """Yearly mean per (station, pollutant, year) (D2); rounded for comparison."""
-    ym = SY.yearly_means(base(spark, sf_dir), CAT.variable_codes(spark))
+    ym = SY.yearly_means(base(spark, sf_dir, pin=False), CAT.variable_codes(spark))
     return ym.withColumn("year_mean", F.round("year_mean", 6))
 
 
 @register("trends", with_base("SELECT station_key, pollutant_id, round(trend, 9) AS trend FROM tr"), [])
 def q_trends(spark, sf_dir):
     """Clipped relative trend (D3); rounded for comparison."""
-    t = SY.trends(SY.yearly_means(base(spark, sf_dir), CAT.variable_codes(spark)))
+    t = SY.trends(SY.yearly_means(base(spark, sf_dir, pin=False), CAT.variable_codes(spark)))
     return t.withColumn("trend", F.round("trend", 9))
 
 
-def _plan(spark, sf_dir):
-    b = base(spark, sf_dir)
+def _plan(spark, sf_dir, b=None, stations=None, caps=None):
+    b = b if b is not None else base(spark, sf_dir)
     codes = CAT.variable_codes(spark)
-    st = CAT.stations(b, CAT.zones(b), WIN.end_year, WIN.base_data_end)
-    caps = CAT.capabilities(spark, b, st)
+    st = stations if stations is not None else stations_c(spark, sf_dir, b)
+    caps = caps if caps is not None else CAT.capabilities(spark, b, st)
     return SY.series_plan(caps, st, SY.raw_means(b, codes), SY.trends(SY.yearly_means(b, codes)), WIN)
 
 

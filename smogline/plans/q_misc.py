@@ -135,7 +135,10 @@ def q_output_check(spark, sf_dir):
     from ..operators import catalogs as CAT
     from ..operators import synth as SY
     b = base(spark, sf_dir)
-    series = SY.daily_series(_plan(spark, sf_dir), WIN)
-    return S.output_check({"zones": zones_c(spark, sf_dir), "stations": stations_c(spark, sf_dir),
-                           "pollutants": CAT.pollutant_catalogue(spark), "station_capabilities": caps_c(spark, sf_dir)},
+    zones = zones_c(spark, sf_dir, b)
+    stations = stations_c(spark, sf_dir, b, zones)
+    caps = caps_c(spark, sf_dir, b, stations)
+    series = SY.daily_series(_plan(spark, sf_dir, b, stations, caps), WIN)
+    return S.output_check({"zones": zones, "stations": stations,
+                           "pollutants": CAT.pollutant_catalogue(spark), "station_capabilities": caps},
                           series)

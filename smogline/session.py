@@ -62,3 +62,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}"
+
+
+def pin_table(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: a lineage cut that survives executor loss and keeps columnar
+    reads (pruning, pushdown) for every later consumer."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -54,6 +54,34 @@ def measurement_rules() -> list[Column]:
     ]
 
 
+def _req_len(c: str, n: int) -> Column:
+    return F.coalesce(rule_required(c), rule_max_len(c, n))
+
+
+def station_rules() -> list[Column]:
+    """Station form: id, code <= 50, name <= 200, zone id required; decimal
+    coordinates; type and authority <= 100; integer years (op B19)."""
+    return [rule_int("station_id"), _req_len("station_code", 50), _req_len("station_name", 200),
+            rule_int("zone_id"), rule_decimal("lat"), rule_decimal("lon"),
+            rule_max_len("station_type", 100), rule_max_len("authority", 100),
+            rule_int("years_min", required=False), rule_int("years_max", required=False)]
+
+
+def zone_rules() -> list[Column]:
+    return [rule_int("zone_id"), _req_len("city_code", 10), _req_len("city_name", 100),
+            _req_len("zone_code", 50), _req_len("zone_name", 100), rule_int("population", required=False),
+            rule_decimal("centroid_lat"), rule_decimal("centroid_lon")]
+
+
+def pollutant_rules() -> list[Column]:
+    return [_req_len("pollutant_id", 20), _req_len("name", 100), _req_len("default_unit", 20),
+            rule_decimal("who_daily_limit"), rule_decimal("who_annual_limit")]
+
+
+def capability_rules() -> list[Column]:
+    return [rule_int("station_id"), _req_len("pollutant_id", 20), rule_max_len("unit", 20)]
+
+
 def validate(df: DataFrame, rules: list[Column]) -> DataFrame:
     """Adds ``errors`` (messages joined by '; ', '' when valid) and ``n_errors``."""
     errs = F.filter(F.array(*rules), lambda x: x.isNotNull())

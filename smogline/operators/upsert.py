@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, pin_table
 from .cleaning import keep_one
 from .joins import checked_broadcast
 
@@ -79,16 +79,35 @@ def assign_surrogate_keys(df: DataFrame, order_cols: list[str], start: int = 0,
               .drop("_pid", "_pos", "_off")
 
 
+def touched_years(target: DataFrame, updates: DataFrame) -> DataFrame:
+    """Target rows in the years the updates touch. On a year-partitioned table
+    the semi join becomes a partition filter (dynamic partition pruning), so an
+    upsert reads and rewrites only those years (``partitionOverwriteMode=dynamic``)."""
+    years = updates.select(cal.year_of("ts_utc").alias("year")).distinct()
+    # Distinct years: bounded by the calendar span, a few hundred rows at most.
+    return target.join(F.broadcast(years), "year", "left_semi")
+
+
 def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
                         update_order: list[str] | None = None,
-                        keys: list[str] = NATURAL_KEY) -> DataFrame:
+                        keys: list[str] = NATURAL_KEY, only_touched_years: bool = False) -> DataFrame:
     """Upsert on (station, pollutant, ts) (op H2).
 
     Matched: value, unit, source replaced; processed_at reset to NULL; sk,
     inserted_at and is_valid kept. New: next surrogate keys (H8) in key order,
     inserted_at = now, is_valid = true, processed_at NULL. Several updates of one
-    key: the last in ``update_order`` wins, as sequential statements would."""
+    key: the last in ``update_order`` wins, as sequential statements would.
+
+    The full outer join runs once: its result is written to the shared
+    checkpoint folder and both the kept rows and the new rows read it. With
+    ``only_touched_years`` the target (which must carry ``year``) is cut to
+    the years present in the updates and the result holds only those years, for
+    a dynamic partition overwrite."""
     cols = ["station_id", "pollutant_id", "ts_utc", "value", "unit", "source"]
+    if only_touched_years:
+        target = touched_years(target, updates)
+    if "year" in target.columns:
+        target = target.drop("year")
     upd = updates.select(*cols, *(update_order or []))
     if update_order:
         upd = keep_one(upd, keys, update_order, last=True).drop(*update_order)
@@ -96,6 +115,7 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     t = target.withColumn("_t", F.lit(True))
     j = t.join(upd.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols if c not in keys], "_u"),
                on=keys, how="full_outer")
+    j = pin_table(j, "upsert_merge")
     matched_or_old = j.filter(F.col("_t").isNotNull()).select(
         "measurement_sk", *keys,
         *[F.when(F.col("_u").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)

@@ -115,7 +115,7 @@ def q_measurement_upsert(spark, sf_dir):
                    F.lit("reprocessed").alias("source"))
            .unionByName(cleaned(spark, sf_dir).select("station_id", "pollutant_id", "ts_utc", "value",
                                                       "unit", "source")))
-    return U.upsert_measurements(r.drop("year"), upd, now=RUN_LOADED_AT).select(*RAW_COLS)
+    return U.upsert_measurements(r, upd, now=RUN_LOADED_AT).select(*RAW_COLS)
 
 
 @register("surrogate_keys", with_clean("""

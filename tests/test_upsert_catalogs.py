@@ -142,3 +142,16 @@ def test_generator_properties(spark):
     assert 1.2 < mean < 1.8
     again = sorted(SY.daily_series(plan, win, partitions=3).collect())
     assert again == sorted(rows)   # hash-seeded: independent of partitioning
+
+
+def test_upsert_only_touched_years(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    target = _raw(spark, [(1, 1, "a", "2023-05-01 00:00:00", 1.0, "u", "s", True, t0, None),
+                          (2, 1, "a", "2024-05-01 00:00:00", 2.0, "u", "s", True, t0, None)]) \
+        .withColumn("year", F.year("ts_utc"))
+    upd = spark.createDataFrame([(1, "a", "2024-05-01 00:00:00", 9.0, "u", "s")],
+                                "station_id int, pollutant_id string, t string, value double, unit string, "
+                                "source string").withColumn("ts_utc", F.col("t").cast("timestamp_ntz"))
+    out = U.upsert_measurements(target, upd, now="2025-01-01", only_touched_years=True).collect()
+    assert [(r.measurement_sk, r.value, r.year) for r in out] == [(2, 9.0, 2024)]

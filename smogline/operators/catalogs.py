@@ -11,7 +11,7 @@ from ..functions import hashing as H
 from ..functions.text import normalize_name, stable_id
 from ..sources.base_csv import POS, station_key
 from .joins import lookup
-from .upsert import assign_surrogate_keys
+from .upsert import number_rows
 
 
 def pollutant_catalogue(spark: SparkSession) -> DataFrame:
@@ -33,7 +33,7 @@ def zones(base: DataFrame) -> DataFrame:
     [decision: the reference used the surviving row index + 1, with gaps]. The
     population and centroid are derived from a hash of the pair, so reruns agree."""
     pairs = base.groupBy("dept", "muni").agg(F.min(POS).alias("_first"))
-    numbered = assign_surrogate_keys(pairs, ["_first"], key="zone_id")
+    numbered = number_rows(pairs, ["_first"], key="zone_id")
     dept, muni = normalize_name("dept"), normalize_name("muni")
     zid = F.col("zone_id").cast("int")
     return numbered.select(
@@ -94,5 +94,6 @@ def capabilities(spark: SparkSession, base: DataFrame, stations_df: DataFrame) -
                         F.trim("variable").alias("variable")).distinct()
     st = stations_df.select(F.regexp_replace("station_code", "^ST-", "").alias("_sid_text"), "station_id")
     j = lookup(pairs, st, "_sid_text", how="inner")
-    j = lookup(j, variable_codes(spark), "variable", how="inner")
+    # Six literal rows: a fixed size, broadcast without a count.
+    j = j.join(F.broadcast(variable_codes(spark)), "variable", "inner")
     return j.select("station_id", "pollutant_id", "unit").distinct()

@@ -167,7 +167,7 @@ def q_describe(spark, sf_dir):
 
 @register("time_span", with_clean("""
 SELECT min(ts_utc) AS first_ts, max(ts_utc) AS last_ts,
-       CAST(datediff('day', min(ts_utc), max(ts_utc)) AS BIGINT) AS days
+       CAST(date_sub('day', min(ts_utc), max(ts_utc)) AS BIGINT) AS days
 FROM clean_m"""), M_VIEWS)
 def q_time_span(spark, sf_dir):
     return S.time_span(cleaned(spark, sf_dir))

@@ -72,3 +72,11 @@ def year_status(requested: DataFrame, source: DataFrame, target: DataFrame,
         F.when(F.col("_tgt").isNotNull(), F.lit("skipped"))
         .when(F.col("_src").isNull(), F.lit("failed"))
         .otherwise(F.lit("success")).alias("status"))
+
+
+def check_status(status: DataFrame, fail_on_error: bool) -> DataFrame:
+    """Continue and report, or stop when ``fail_on_error`` is set and any year
+    failed (op A7). The probe reads at most one row."""
+    if fail_on_error and status.filter(F.col("status") == "failed").limit(1).count() > 0:
+        raise RuntimeError("at least one requested year failed to load")
+    return status

@@ -52,3 +52,10 @@ def test_year_status(spark):
     tgt = src.filter(F.year("ts_utc") == 2022)
     got = {r.year: r.status for r in Y.year_status(req, src, tgt).collect()}
     assert got == {2020: "failed", 2021: "success", 2022: "skipped"}
+
+
+def test_check_status(spark):
+    st = spark.createDataFrame([(2020, "failed"), (2021, "success")], "year int, status string")
+    assert Y.check_status(st, fail_on_error=False).count() == 2
+    with pytest.raises(RuntimeError):
+        Y.check_status(st, fail_on_error=True)

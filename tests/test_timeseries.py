@@ -59,3 +59,9 @@ def test_peaks_ties_earliest(spark):
     r = TS.peaks_valleys(df).first()
     assert str(r.peak_time) == "2024-01-01 00:00:00" and r.peak_value == 5.0
     assert str(r.valley_time) == "2024-01-02 00:00:00" and r.valley_value == 1.0
+
+
+def test_time_span_whole_days(spark):
+    from smogline.operators import stats as S
+    df = _series(spark, [(1, "a", "2024-01-01 12:00:00", 1.0), (1, "a", "2024-01-03 06:00:00", 2.0)])
+    assert S.time_span(df).first().days == 1

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..session import ensure_checkpoint_dir, pin_table
 from .cleaning import keep_one
-from .joins import checked_broadcast
 
 NATURAL_KEY = ["station_id", "pollutant_id", "ts_utc"]
 

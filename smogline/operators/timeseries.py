@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from .cleaning import time_range
+from ..session import pin_table
+from .joins import lookup
 
 SERIES = ["station_id", "pollutant_id"]
 
@@ -68,18 +70,40 @@ def monthly_mean(df: DataFrame, start=None, stop=None) -> DataFrame:
     )
 
 
-def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "month",
-                     start=None, stop=None) -> DataFrame:
+ROWS_PER_CHUNK = 1_000_000
+
+
+def _with_chunks(df: DataFrame, chunk: str, rows_per_chunk: int) -> DataFrame:
+    """Add ``_chunk``: a calendar unit (``month``, ``day``, ...) or, for
+    ``auto``, equal-width time slices sized per series so that each holds about
+    ``rows_per_chunk`` rows (width from a per-series count/min/max aggregate,
+    joined back behind the size-checked broadcast)."""
+    if chunk != "auto":
+        return df.withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz"))
+    stats = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"), F.min("ts_utc").alias("_t0"),
+                                    F.max("ts_utc").alias("_t1"))
+    n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk))
+    width = F.floor(cal.micros_between("_t0", "_t1") / n_chunks) + 1
+    # One row per series, written once: the fact is then read by a single
+    # subplan (rows and chunk tails share it) instead of once per consumer.
+    stats = pin_table(stats.select(*SERIES, "_t0", width.cast("long").alias("_w")), "series_chunks")
+    j = lookup(df, stats, SERIES, how="inner")
+    return j.withColumn("_chunk", F.floor(cal.micros_between("_t0", "ts_utc") / F.col("_w")).cast("long")) \
+            .drop("_t0", "_w")
+
+
+def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "auto",
+                     start=None, stop=None, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """(v - v_prev) / elapsed-days per series; the first point of a series has
     none; negative rates are kept (op F1).
 
     Skew-safe: the window is partitioned by (series, time chunk), so a series
-    holding a third of all rows is spread over its chunks. Each chunk's last
-    point (a map-side combined aggregate, one row per series and chunk) is
-    carried into the next non-empty chunk as a marker row, so one window pass
-    sees every predecessor; markers are dropped afterwards. No join."""
-    base = (time_range(df, start, stop).select(*SERIES, "ts_utc", "value")
-            .withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz")))
+    holding a third of all rows is spread over its chunks; ``auto`` sizes the
+    chunks from each series' row count. Each chunk's last point (a map-side
+    combined aggregate, one row per series and chunk) is carried into the next
+    non-empty chunk as a marker row, so one window pass sees every predecessor;
+    markers are dropped afterwards. No join of the fact with itself."""
+    base = _with_chunks(time_range(df, start, stop).select(*SERIES, "ts_utc", "value"), chunk, rows_per_chunk)
     last = (base.groupBy(*SERIES, "_chunk")
             .agg(F.max_by(F.struct("ts_utc", "value"), F.col("ts_utc")).alias("_last")))
     nxt = F.lead("_chunk").over(Window.partitionBy(*SERIES).orderBy("_chunk"))

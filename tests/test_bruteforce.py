@@ -41,10 +41,12 @@ def test_dedupe_and_daily_derivative_match_pandas(spark):
     df = spark.createDataFrame(pdf).withColumn("ts_utc", F.col("ts_utc").cast("timestamp_ntz"))
     clean = C.clean_measurements(df, ["pos"])
     assert clean.count() == len(pdf.drop_duplicates(["station_id", "pollutant_id", "ts_utc"]))
-    for chunk in ("month", "day"):
+    expected = _expected(pdf)
+    for chunk, per in (("month", None), ("day", None), ("auto", 100), ("auto", 7), ("auto", 10**6)):
+        kw = {"rows_per_chunk": per} if per else {}
         got = sorted((int(r.station_id), r.pollutant_id, str(r.time), round(r.daily_rate, 9))
-                     for r in TS.daily_derivative(clean, chunk=chunk).collect())
-        assert got == _expected(pdf)
+                     for r in TS.daily_derivative(clean, chunk=chunk, **kw).collect())
+        assert got == expected, (chunk, per)
 
 
 def test_yearly_stats_and_peaks_match_pandas(spark):

@@ -22,7 +22,9 @@ def test_daily_derivative_crosses_chunks(spark):
     by_month = sorted((str(r.time), r.daily_rate) for r in TS.daily_derivative(df, chunk="month").collect())
     by_year = sorted((str(r.time), r.daily_rate) for r in TS.daily_derivative(df, chunk="year").collect())
     by_day = sorted((str(r.time), r.daily_rate) for r in TS.daily_derivative(df, chunk="day").collect())
-    assert by_month == by_year == by_day
+    by_auto = sorted((str(r.time), r.daily_rate)
+                     for r in TS.daily_derivative(df, chunk="auto", rows_per_chunk=2).collect())
+    assert by_month == by_year == by_day == by_auto
     assert len(by_month) == len(rows) - 1
 
 

@@ -87,13 +87,21 @@ def stations(base: DataFrame, zones_df: DataFrame, end_year: int, base_data_end:
     )
 
 
-def capabilities(spark: SparkSession, base: DataFrame, stations_df: DataFrame) -> DataFrame:
+def capabilities(spark: SparkSession, base: DataFrame, stations_df: DataFrame,
+                 pairs: DataFrame | None = None) -> DataFrame:
     """Distinct (station, pollutant) pairs with a known station and pollutant; the
-    unit comes from the catalogue (ops C4, G6)."""
-    pairs = base.select(station_key("station_raw").alias("_sid_text"),
-                        F.trim("variable").alias("variable")).distinct()
+    unit comes from the catalogue (ops C4, G6). ``pairs`` may give the
+    (station_key, pollutant_id) pairs already derived from ``base`` (the keys of
+    ``synth.series_sums``), so the raw rows are not scanned again."""
+    codes = variable_codes(spark)
     st = stations_df.select(F.regexp_replace("station_code", "^ST-", "").alias("_sid_text"), "station_id")
+    if pairs is None:
+        pairs = base.select(station_key("station_raw").alias("_sid_text"),
+                            F.trim("variable").alias("variable")).distinct()
+        # Six literal rows: a fixed size, broadcast without a count.
+        pairs = pairs.join(F.broadcast(codes), "variable", "inner")
+    else:
+        pairs = pairs.select(F.col("station_key").alias("_sid_text"), "pollutant_id").distinct() \
+                     .join(F.broadcast(codes.select("pollutant_id", "unit")), "pollutant_id", "inner")
     j = lookup(pairs, st, "_sid_text", how="inner")
-    # Six literal rows: a fixed size, broadcast without a count.
-    j = j.join(F.broadcast(variable_codes(spark)), "variable", "inner")
     return j.select("station_id", "pollutant_id", "unit").distinct()

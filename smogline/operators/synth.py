@@ -33,6 +33,27 @@ def _keyed(base: DataFrame, spark_codes: DataFrame) -> DataFrame:
     return b.join(F.broadcast(spark_codes.select("variable", "pollutant_id")), "variable", "inner")
 
 
+def series_sums(base: DataFrame, codes: DataFrame) -> DataFrame:
+    """Sum and count of the values per (station, pollutant, year): the one
+    aggregate over the raw rows that D1, D2 and the capability pairs (C4) all
+    derive from, so the base is scanned once for the three of them."""
+    return (_keyed(base, codes).groupBy("station_key", "pollutant_id", "year")
+            .agg(F.sum("value").alias("v_sum"), F.count("value").alias("v_n")))
+
+
+def raw_means_from(sums: DataFrame) -> DataFrame:
+    """Op D1 from ``series_sums``: the mean over raw rows is the sum of the
+    yearly sums over the sum of the yearly counts."""
+    return sums.groupBy("station_key", "pollutant_id").agg(
+        F.try_divide(F.sum("v_sum"), F.sum("v_n")).alias("annual_mean"))
+
+
+def yearly_means_from(sums: DataFrame) -> DataFrame:
+    """Op D2 from ``series_sums``."""
+    return sums.select("station_key", "pollutant_id", "year",
+                       F.try_divide(F.col("v_sum"), F.col("v_n")).alias("year_mean"))
+
+
 def raw_means(base: DataFrame, codes: DataFrame) -> DataFrame:
     """Mean over raw rows per (station, pollutant) (op D1)."""
     return _keyed(base, codes).groupBy("station_key", "pollutant_id").agg(F.avg("value").alias("annual_mean"))

@@ -119,10 +119,11 @@ def stations_c(spark, sf_dir, b=None, zones=None):
     return CAT.stations(b, zones if zones is not None else CAT.zones(b), WIN.end_year, WIN.base_data_end)
 
 
-def caps_c(spark, sf_dir, b=None, stations=None):
+def caps_c(spark, sf_dir, b=None, stations=None, sums=None):
     b = b if b is not None else base(spark, sf_dir)
     st = stations if stations is not None else stations_c(spark, sf_dir, b)
-    return CAT.capabilities(spark, b, st)
+    sums = sums if sums is not None else SY.series_sums(b, CAT.variable_codes(spark))
+    return CAT.capabilities(spark, b, st, pairs=sums)
 
 
 @register("base_rows_typed", with_base(f"SELECT {', '.join(BASE_COLS)} FROM base_t"), [])
@@ -171,11 +172,13 @@ def q_trends(spark, sf_dir):
 
 
 def _plan(spark, sf_dir, b=None, stations=None, caps=None):
+    """Capabilities, means and trends all come from one (station, pollutant,
+    year) aggregate of the base (``series_sums``); Spark reuses its exchange."""
     b = b if b is not None else base(spark, sf_dir)
-    codes = CAT.variable_codes(spark)
+    sums = SY.series_sums(b, CAT.variable_codes(spark))
     st = stations if stations is not None else stations_c(spark, sf_dir, b)
-    caps = caps if caps is not None else CAT.capabilities(spark, b, st)
-    return SY.series_plan(caps, st, SY.raw_means(b, codes), SY.trends(SY.yearly_means(b, codes)), WIN)
+    caps = caps if caps is not None else CAT.capabilities(spark, b, st, pairs=sums)
+    return SY.series_plan(caps, st, SY.raw_means_from(sums), SY.trends(SY.yearly_means_from(sums)), WIN)
 
 
 @register("series_plan", with_base(f"""

@@ -17,6 +17,9 @@ RAW_COLS = ["measurement_sk", "station_id", "pollutant_id", "ts_utc", "value", "
             "is_valid", "inserted_at", "processed_at", "year"]
 PENDING_FROM, PENDING_TO = "2024-01-01", "2024-01-15"
 REQUESTED_YEARS = "1994,1995,1998,2001,2002,2024"
+# Scenario: which stored readings are restated (H3) or reprocessed (H2), and
+# whose zones are deleted (I6). Data-defined sets; every query reads whole tables.
+RESTATED_TYPE, REPROCESSED_TYPE, DELETED_CITY = "purchase", "view", "ASIA"
 
 
 @register("catalogue_upsert", f"""
@@ -29,16 +32,16 @@ def q_catalogue_upsert(spark, sf_dir):
 
 def _restated(spark, sf_dir) -> DataFrame:
     r = dt.readings(spark, sf_dir)
-    return (r.filter(F.col("measurement_sk") % 5 == 0)
+    return (r.filter(F.col("pollutant_id") == RESTATED_TYPE)
             .withColumn("value", F.col("value") * 2).withColumn("source", F.lit("restated")))
 
 
-@register("delete_insert_by_sk", """
-SELECT * FROM readings WHERE measurement_sk % 5 <> 0
+@register("delete_insert_by_sk", f"""
+SELECT * FROM readings WHERE pollutant_id IS DISTINCT FROM '{RESTATED_TYPE}'
 UNION ALL
 SELECT measurement_sk, station_id, pollutant_id, ts_utc, value * 2 AS value, unit,
        'restated' AS source, is_valid, inserted_at, processed_at, year
-FROM readings WHERE measurement_sk % 5 = 0""", ["readings"])
+FROM readings WHERE pollutant_id = '{RESTATED_TYPE}'""", ["readings"])
 def q_delete_insert(spark, sf_dir):
     """Staged restatements replace their rows by surrogate key (H3)."""
     return U.delete_insert(dt.readings(spark, sf_dir), _restated(spark, sf_dir))
@@ -82,7 +85,7 @@ def q_append(spark, sf_dir):
 UPSERT_SQL = with_clean(f"""
 WITH u AS (
   SELECT station_id, pollutant_id, ts_utc, value + 1 AS value, unit, 'reprocessed' AS source
-  FROM readings WHERE measurement_sk % 3 = 0
+  FROM readings WHERE pollutant_id = '{REPROCESSED_TYPE}'
   UNION ALL SELECT station_id, pollutant_id, ts_utc, value, unit, source FROM clean_m),
 old AS (
   SELECT r.measurement_sk, r.station_id, r.pollutant_id, r.ts_utc,
@@ -110,7 +113,7 @@ def q_measurement_upsert(spark, sf_dir):
     """Reprocessed readings update in place; cleaned lineitem facts are new rows
     with fresh surrogate keys (H2 + H8)."""
     r = dt.readings(spark, sf_dir)
-    upd = (r.filter(F.col("measurement_sk") % 3 == 0)
+    upd = (r.filter(F.col("pollutant_id") == REPROCESSED_TYPE)
            .select("station_id", "pollutant_id", "ts_utc", (F.col("value") + 1).alias("value"), "unit",
                    F.lit("reprocessed").alias("source"))
            .unionByName(cleaned(spark, sf_dir).select("station_id", "pollutant_id", "ts_utc", "value",
@@ -169,15 +172,15 @@ def q_year_status(spark, sf_dir):
     return Y.year_status(_requested(spark), dt.measurements(spark, sf_dir), dt.readings(spark, sf_dir))
 
 
-@register("cascade_delete_readings", """
+@register("cascade_delete_readings", f"""
 SELECT * FROM readings WHERE station_id NOT IN (
-  SELECT station_id FROM stations WHERE zone_id IN (SELECT zone_id FROM zones WHERE zone_id % 5 = 0))""",
+  SELECT station_id FROM stations WHERE zone_id IN (SELECT zone_id FROM zones WHERE city_name = '{DELETED_CITY}'))""",
           ["readings", "stations", "zones"])
 def q_cascade(spark, sf_dir):
-    """Deleting every fifth zone removes its stations' readings."""
+    """Deleting the zones of one city removes its stations' readings."""
     z = dt.zones(spark, sf_dir)
     r = dt.readings(spark, sf_dir)
     caps = r.select("station_id", "pollutant_id", "unit").distinct()
     out = U.cascade_delete_zones(z, dt.stations(spark, sf_dir), caps, r,
-                                 z.filter(F.col("zone_id") % 5 == 0))
+                                 z.filter(F.col("city_name") == DELETED_CITY))
     return out["measurements_raw"]

@@ -59,9 +59,9 @@ VARIABLE_BY_PART = ["PM2.5", "PM10", "O3", "NO2", "SO2", "CO", "Benzene"]
 
 
 def driver_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .driver_tables import spread
+    from .driver_tables import _read
     d = sf_dir.rstrip("/")
-    li = spread(spark.read.parquet(f"{d}/lineitem.parquet"))
+    li = _read(spark, d, "lineitem")
     s = spark.read.parquet(f"{d}/supplier.parquet")
     n = spark.read.parquet(f"{d}/nation.parquet")
     r = spark.read.parquet(f"{d}/region.parquet")

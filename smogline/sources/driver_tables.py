@@ -40,19 +40,27 @@ DRIVER_POLLUTANTS = [
 BASE_DATA_END = 1998  # last "observed" year of the lineitem-backed facts
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the session has
-    cores (one unsplittable file); a no-op for the many-file inputs of a cluster."""
+def spread(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Spread a scan that arrives in fewer splits than the session has cores
+    (one file with one row group); a no-op for the many-file inputs of a cluster.
+
+    With ``by`` (the row identity: ingest position or surrogate key) rows are
+    hash-partitioned on it: deterministic on task retry without the per-task
+    sort a round-robin repartition needs, and even however skewed the data keys
+    are, because the identity is (nearly) unique per row."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *by) if by else df.repartition(cores)
 
 
-FACT_TABLES = ("lineitem", "events")
+# Row identity of each fact table: what ``spread`` hashes on.
+FACT_TABLES = {"lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    return spread(df, FACT_TABLES[name]) if name in FACT_TABLES else df
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:

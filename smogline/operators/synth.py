@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import hashing as H
-from ..sources.base_csv import station_key
+from ..session import pin_table
+from ..sources.base_csv import COMPACT_N, COMPACT_SUM, station_key
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,17 @@ def _keyed(base: DataFrame, spark_codes: DataFrame) -> DataFrame:
 
 def series_sums(base: DataFrame, codes: DataFrame) -> DataFrame:
     """Sum and count of the values per (station, pollutant, year): the one
-    aggregate over the raw rows that D1, D2 and the capability pairs (C4) all
-    derive from, so the base is scanned once for the three of them."""
-    return (_keyed(base, codes).groupBy("station_key", "pollutant_id", "year")
-            .agg(F.sum("value").alias("v_sum"), F.count("value").alias("v_n")))
+    aggregate over the rows that D1, D2 and the capability pairs (C4) all
+    derive from, so the base is scanned once for the three of them. ``base``
+    is typed rows or their ``compact_rows`` form (sums and counts already)."""
+    compact = COMPACT_SUM in base.columns
+    vals = [COMPACT_SUM, COMPACT_N] if compact else ["value"]
+    b = base.select(station_key("station_raw").alias("station_key"), F.trim("variable").alias("variable"),
+                    "year", *vals)
+    b = b.join(F.broadcast(codes.select("variable", "pollutant_id")), "variable", "inner")
+    aggs = ([F.sum(COMPACT_SUM).alias("v_sum"), F.sum(COMPACT_N).alias("v_n")] if compact
+            else [F.sum("value").alias("v_sum"), F.count("value").alias("v_n")])
+    return b.groupBy("station_key", "pollutant_id", "year").agg(*aggs)
 
 
 def raw_means_from(sums: DataFrame) -> DataFrame:
@@ -123,6 +131,10 @@ def daily_series(plan: DataFrame, win: Window_, partitions: int | None = None) -
     # to be generated) because the plan itself is tiny and AQE would otherwise
     # coalesce it into a single task before the explode.
     if partitions is None:
+        # The plan is read twice (sizing, then generation): write it once to the
+        # shared checkpoint folder. It is catalogue-size, and the cut also means
+        # a lost generator task never recomputes the catalogue derivation.
+        plan = pin_table(plan, "series_plan")
         partitions = generator_partitions(plan)
     spread = plan.repartition(partitions, "station_id", "pollutant_id")
     days = spread.withColumn("d", F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))))

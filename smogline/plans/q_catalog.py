@@ -103,11 +103,13 @@ def with_base(sql: str) -> str:
 
 
 def base(spark, sf_dir, pin: bool = True):
-    """Typed CSV rows. Several catalogues aggregate the same rows, so the parsed
-    base is written once to the shared checkpoint folder (reliable checkpoint,
-    lineage cut) instead of being re-joined and re-parsed per consumer."""
+    """Typed CSV rows. With ``pin`` (the catalogue and generator plans), the rows
+    are collapsed by ``compact_rows`` and that much smaller table is written
+    once to the shared checkpoint folder (a reliable lineage cut) for the
+    several aggregates that read it, instead of each re-joining, re-parsing
+    and re-grouping the raw rows."""
     b = B.typed_base(B.driver_base_rows(spark, sf_dir))
-    return pin_table(b, "base_csv") if pin else b
+    return pin_table(B.compact_rows(b), "base_csv") if pin else b
 
 
 def zones_c(spark, sf_dir, b=None):

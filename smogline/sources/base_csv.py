@@ -106,6 +106,23 @@ def typed_base(df: DataFrame) -> DataFrame:
     return out.filter(F.col("variable").isin(known))
 
 
+COMPACT_SUM, COMPACT_N = "v_sum", "v_n"
+
+
+def compact_rows(typed: DataFrame) -> DataFrame:
+    """Typed rows collapsed to one row per distinct combination of the text and
+    year columns, with the earliest ingest position and the sum and count of the
+    values. Every catalogue and trend aggregate reads this instead of the raw
+    rows, and gets the same answer: a "first non-null in input order" is the
+    value of the combination with the smallest position among those where it
+    is non-null, min/max year are keys, and means are sums over counts. The
+    raw rows are grouped (map-side combined) once; a hot station is collapsed
+    before its shuffle."""
+    keys = [c for c in typed.columns if c not in (POS, "value")]
+    return typed.groupBy(*keys).agg(F.min(POS).alias(POS), F.sum("value").alias(COMPACT_SUM),
+                                    F.count("value").alias(COMPACT_N))
+
+
 def station_key(raw: Column | str) -> Column:
     """Station id text with thousands separators removed."""
     col = F.col(raw) if isinstance(raw, str) else raw

@@ -155,3 +155,43 @@ def test_upsert_only_touched_years(spark):
                                 "source string").withColumn("ts_utc", F.col("t").cast("timestamp_ntz"))
     out = U.upsert_measurements(target, upd, now="2025-01-01", only_touched_years=True).collect()
     assert [(r.measurement_sk, r.value, r.year) for r in out] == [(2, 9.0, 2024)]
+
+
+def test_compact_rows_give_the_same_catalogues(spark):
+    """Zones, stations, capabilities, means and trends read from the compact
+    form equal those read from the raw typed rows (nulls, NaN coordinates,
+    repeated combinations and positions out of input order included)."""
+    c = B.COLS
+    rows = [
+        ("5", None, "A", "d1", "m1", "PM2.5", "2018", "10", "nan", "-75", "U", 9),
+        ("5", "late name", "A", "d1", "m1", "PM2.5", "2019", "20", "6.5", "-75", "U", 7),
+        ("5", "early name", "A", "d1", "m1", "PM2.5", "2020", "30", "6.1", "-75", "U", 3),
+        ("5", "early name", "A", "d1", "m1", "PM2.5", "2020", "50", "6.1", "-75", "U", 1),
+        ("5", "early name", "A", "d2", "m2", "PM10", "2021", "40", None, None, None, 2),
+        ("6", "six", None, "d2", "m2", "NO2", "2018", "1", "1", "1", "R", 4),
+        ("6", "six", "B", "d2", "m2", "NO2", "2019", "2", "1", "1", "R", 8),
+        ("6", "six", "B", "d2", "m2", "NO2", "2020", "7", "1", "1", "R", 6),
+        ("6", "six", "B", "d2", "m2", "NO2", "2020", None, "1", "1", "R", 5),
+    ]
+    raw = B.typed_base(spark.createDataFrame(
+        rows, [c["station_id"], c["station"], c["authority"], c["dept"], c["muni"], c["pollutant"], c["year"],
+               c["value"], c["lat"], c["lon"], c["station_type"], B.POS]))
+    comp = B.compact_rows(raw)
+    assert comp.count() < raw.count()
+
+    def same(a, b):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
+    same(CAT.zones(raw), CAT.zones(comp))
+    st_raw = CAT.stations(raw, CAT.zones(raw), 2025, 2020)
+    st_comp = CAT.stations(comp, CAT.zones(comp), 2025, 2020)
+    same(st_raw, st_comp)
+    s5 = st_comp.filter("station_id = 5").first()
+    assert (s5.station_name, s5.lat, s5.station_type) == ("Early Name", 6.1, "U")
+    codes = CAT.variable_codes(spark)
+    same(CAT.capabilities(spark, raw, st_raw), CAT.capabilities(spark, comp, st_comp, pairs=SY.series_sums(comp, codes)))
+    r = SY.raw_means(raw, codes)
+    same(r, SY.raw_means_from(SY.series_sums(comp, codes)).select(*r.columns))
+    y = SY.yearly_means(raw, codes)
+    same(y, SY.yearly_means_from(SY.series_sums(comp, codes)).select(*y.columns))
+    same(SY.trends(y), SY.trends(SY.yearly_means_from(SY.series_sums(comp, codes))))

@@ -172,12 +172,18 @@ def mark_processed(target: DataFrame, written: DataFrame, now=None,
 def cascade_delete_zones(zones: DataFrame, stations: DataFrame, capabilities: DataFrame,
                          measurements: DataFrame, zone_ids: DataFrame) -> dict[str, DataFrame]:
     """Delete zones and, through the foreign keys, their stations, capabilities
-    and measurements (op I6): chained anti joins."""
-    z = zones.join(zone_ids.select("zone_id"), "zone_id", "left_anti")
-    gone_st = stations.join(zone_ids.select("zone_id"), "zone_id", "left_semi").select("station_id")
+    and measurements (op I6): chained anti joins. The deleted keys are subsets
+    of catalogues, so they go to the facts as size-checked broadcasts: a station
+    holding a third of all measurements is never hashed into one task."""
+    from .joins import checked_broadcasts
+
+    zid = zone_ids.select("zone_id").distinct()
+    (zid_b,) = checked_broadcasts([zid])
+    gone_st = stations.join(zid_b, "zone_id", "left_semi").select("station_id")
+    (gone_b,) = checked_broadcasts([gone_st])
     return {
-        "zones": z,
-        "stations": stations.join(gone_st, "station_id", "left_anti"),
-        "station_capabilities": capabilities.join(gone_st, "station_id", "left_anti"),
-        "measurements_raw": measurements.join(gone_st, "station_id", "left_anti"),
+        "zones": zones.join(zid_b, "zone_id", "left_anti"),
+        "stations": stations.join(gone_b, "station_id", "left_anti"),
+        "station_capabilities": capabilities.join(gone_b, "station_id", "left_anti"),
+        "measurements_raw": measurements.join(gone_b, "station_id", "left_anti"),
     }

@@ -195,3 +195,19 @@ def test_compact_rows_give_the_same_catalogues(spark):
     y = SY.yearly_means(raw, codes)
     same(y, SY.yearly_means_from(SY.series_sums(comp, codes)).select(*y.columns))
     same(SY.trends(y), SY.trends(SY.yearly_means_from(SY.series_sums(comp, codes))))
+
+
+def test_cascade_delete_zones(spark):
+    zones = spark.createDataFrame([(1, "Z01"), (2, "Z02")], "zone_id int, zone_code string")
+    stations = spark.createDataFrame([(10, 1), (11, 1), (20, 2)], "station_id int, zone_id int")
+    caps = spark.createDataFrame([(10, "pm25"), (20, "pm25"), (20, "co")], "station_id int, pollutant_id string")
+    # Station 10 holds most of the measurements (a hot key).
+    meas = spark.range(0, 300).select(
+        F.when(F.col("id") < 200, F.lit(10)).when(F.col("id") < 250, F.lit(11)).otherwise(F.lit(20))
+        .cast("int").alias("station_id"), F.col("id").alias("measurement_sk"))
+    out = U.cascade_delete_zones(zones, stations, caps, meas, spark.createDataFrame([(1,), (1,)], "zone_id int"))
+    assert [r.zone_id for r in out["zones"].collect()] == [2]
+    assert [r.station_id for r in out["stations"].collect()] == [20]
+    assert sorted(r.pollutant_id for r in out["station_capabilities"].collect()) == ["co", "pm25"]
+    m = out["measurements_raw"]
+    assert m.count() == 50 and {r.station_id for r in m.collect()} == {20}

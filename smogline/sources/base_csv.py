@@ -67,7 +67,10 @@ def driver_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = spark.read.parquet(f"{d}/region.parquet")
     geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
     sup = s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
-    j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
+    # The supplier side is a catalogue: a size-checked broadcast, so a supplier
+    # holding a third of the rows is never hashed into one task.
+    from ..operators.joins import lookup
+    j = lookup(li, sup, li.l_suppkey == sup.s_suppkey)
     var = F.element_at(F.array(*[F.lit(v) for v in VARIABLE_BY_PART]), (F.col("l_partkey") % 7 + 1).cast("int"))
     return j.select(
         F.format_number(F.col("l_suppkey"), 0).alias(COLS["station_id"]),

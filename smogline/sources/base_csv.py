@@ -37,13 +37,17 @@ def read_base_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def newest_file(spark: SparkSession, pattern: str) -> DataFrame:
-    """Rows of the most recently modified CSV among ``pattern`` (op A2): the file
-    listing is a metadata aggregate, then a semi join keeps that file's rows."""
-    raw = spark.read.option("header", True).csv(pattern)
-    df = raw.toDF(*[c.strip() for c in raw.columns]).withColumn(
-        "_file", F.col("_metadata.file_path")).withColumn("_mtime", F.col("_metadata.file_modification_time"))
-    latest = df.groupBy("_file").agg(F.max("_mtime").alias("_m")).orderBy(F.col("_m").desc(), F.col("_file").desc()).limit(1)
-    return df.join(F.broadcast(latest.select("_file")), "_file", "left_semi").drop("_mtime")
+    """Rows of the most recently modified CSV among ``pattern`` (op A2). The
+    listing is a distributed scan of file metadata only (the ``binaryFile``
+    source without its content column, so no file body is read); the newest
+    path (one scalar, ties to the larger path) comes back and only that file is
+    read."""
+    listing = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")
+    newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path").desc()).select("path").first()
+    if newest is None:
+        raise FileNotFoundError(f"no file matches {pattern}")
+    raw = spark.read.option("header", True).csv(newest["path"])
+    return raw.toDF(*[c.strip() for c in raw.columns]).withColumn("_file", F.col("_metadata.file_path"))
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

@@ -8,7 +8,7 @@ from .. import constants as K
 from ..operators import catalogs as CAT
 from ..operators import synth as SY
 from ..sources import base_csv as B
-from ..session import pin_table
+from ..session import pin_table, scratch_path
 from .registry import register
 
 # Generator parameters of the registered run.
@@ -134,6 +134,20 @@ def q_base(spark, sf_dir):
     return base(spark, sf_dir, pin=False).select(*BASE_COLS)
 
 
+@register("base_csv_roundtrip", with_base(f"SELECT {', '.join(BASE_COLS)} FROM base_t"), [])
+def q_base_csv_roundtrip(spark, sf_dir):
+    """The annual CSV as real text files: rendered from the driver tables with
+    padded header names, written to the shared folder, then read back by the CSV
+    source (A1: header, every column as text, trimmed names, required-column
+    check B12), parsed (B1) and cut to the six known pollutants (B2)."""
+    import uuid
+
+    rows = B.driver_base_rows(spark, sf_dir).drop(B.POS)
+    path = scratch_path(spark, f"base_csv_text-{uuid.uuid4().hex}")
+    rows.toDF(*[f" {c} " for c in rows.columns]).write.option("header", True).csv(path)
+    return B.typed_base(B.read_base_csv(spark, path)).select(*BASE_COLS)
+
+
 @register("zone_keys", with_base("SELECT * FROM zones_c"), [])
 def q_zone_keys(spark, sf_dir):
     """Zones without the hash-derived population and centroid."""

@@ -149,6 +149,28 @@ def q_mark_processed(spark, sf_dir):
     return U.mark_processed(r, U.pending_rows(r, PENDING_FROM, PENDING_TO), now=RUN_LOADED_AT)
 
 
+FACT_YEAR_START, FACT_YEAR_END = "1990", "2035"  # job parameters: the whole table
+
+
+@register("facts_by_year_roundtrip", with_clean("""
+SELECT station_id, pollutant_id, ts_utc, value, unit, source, CAST(year(ts_utc) AS INTEGER) AS year
+FROM clean_m"""), ["measurements"])
+def q_facts_by_year(spark, sf_dir):
+    """Cleaned facts written as one dataset partitioned by year (A9), then read
+    back for the years of an inclusive YEAR_START..YEAR_END selection (A5) as a
+    partition filter (A4)."""
+    import uuid
+
+    from ..functions import calendar as cal
+    from ..session import scratch_path
+    from ..sources import sinks as S
+
+    path = scratch_path(spark, f"facts-{uuid.uuid4().hex}")
+    S.write_facts_by_year(cleaned(spark, sf_dir).withColumn("year", cal.year_of("ts_utc")), path)
+    years = Y.years_to_process(year="NONE", year_start=FACT_YEAR_START, year_end=FACT_YEAR_END)
+    return Y.read_years(spark, path, years)
+
+
 def _requested(spark):
     return Y.requested_years(spark, Y.years_to_process(years=REQUESTED_YEARS))
 

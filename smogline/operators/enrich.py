@@ -38,10 +38,37 @@ def incremental_extract(raw: DataFrame, since_days: int = 0, limit: int | None =
         & (F.col("ts_utc") >= F.lit(cutoff).cast("date").cast("timestamp_ntz"))
     )
     if limit is not None:
-        df = df.orderBy(F.col("ts_utc").desc(), F.col("measurement_sk").desc()).limit(limit)
+        df = newest_n(df, limit)
     return df
 
 
+def newest_n(df: DataFrame, n: int, ts_col: str = "ts_utc", tie_col: str = "measurement_sk") -> DataFrame:
+    """The ``n`` newest rows (ties on time by ``tie_col``, both descending).
+
+    Scale-safe top-N: no task ever merges more than one range partition.
+    (1) A per-day histogram (one row per calendar day; its running total is a
+    window over days, bounded by the calendar) gives the latest day at or after
+    which at least ``n`` rows lie; rows before it cannot be in the answer and
+    are filtered out (one scalar reaches the driver). (2) The remaining rows are
+    numbered newest first by the range-partitioned surrogate-key path (per
+    partition counts and offsets, no global window) and the first ``n`` kept.
+    A plain ``orderBy().limit()`` would send every partition's own top ``n``
+    to one task for the final merge."""
+    from pyspark.sql import Window
+
+    from .upsert import assign_surrogate_keys
+
+    days = df.groupBy(F.date_trunc("day", ts_col).cast("timestamp_ntz").alias("_d")) \
+             .agg(F.count(F.lit(1)).alias("_n"))
+    running = F.sum("_n").over(Window.orderBy(F.col("_d").desc())
+                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cut = days.withColumn("_c", running).filter(F.col("_c") >= n).agg(F.max("_d").alias("d")).first()["d"]
+    if cut is not None:
+        df = df.filter(F.col(ts_col) >= F.lit(cut).cast("timestamp_ntz"))
+    ranked = assign_surrogate_keys(df, [F.col(ts_col).desc(), F.col(tie_col).desc()], key="_rank")
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+
 def fact_columns(df: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
     """Calendar parts, renames and null-key filter of the extracted rows."""
     if loaded_at is None:

@@ -48,3 +48,19 @@ def test_extract_cutoff():
     assert E.extract_cutoff(0) == K.EXTRACT_FLOOR_DATE
     assert E.extract_cutoff(-3) == K.EXTRACT_FLOOR_DATE
     assert E.extract_cutoff(10, dt.date(2024, 1, 31)) == "2024-01-21"
+
+
+def test_newest_n_matches_brute_force(spark):
+    """Top-N by (ts desc, sk desc) against a plain sort: a hot day holding most
+    rows, equal timestamps, and N below, inside and beyond one day's rows."""
+    df = spark.range(0, 3000).select(
+        F.col("id").alias("measurement_sk"),
+        # 2000 rows on one hot day (many share a timestamp), the rest over 20 days.
+        F.when(F.col("id") < 2000,
+               F.expr("timestamp_ntz'2024-03-10 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 37)"))
+        .otherwise(F.expr("timestamp_ntz'2024-02-01 06:00:00' + make_interval(0, 0, 0, id % 20, id % 24, 0, 0)"))
+        .alias("ts_utc")).repartition(7)
+    rows = sorted(((r.ts_utc, r.measurement_sk) for r in df.collect()), reverse=True)
+    for n in (1, 50, 1999, 2000, 2001, 2500, 3000, 5000):
+        got = sorted(((r.ts_utc, r.measurement_sk) for r in E.newest_n(df, n).collect()), reverse=True)
+        assert got == rows[:n], n

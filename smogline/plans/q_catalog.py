@@ -197,7 +197,7 @@ def _plan(spark, sf_dir, b=None, stations=None, caps=None):
     return SY.series_plan(caps, st, SY.raw_means_from(sums), SY.trends(SY.yearly_means_from(sums)), WIN)
 
 
-@register("series_plan", with_base(f"""
+SERIES_PLAN_SQL = f"""
 SELECT * FROM (
   SELECT c.station_id, c.pollutant_id, c.unit,
          round(coalesce(rm.annual_mean, CASE WHEN c.pollutant_id = 'co' THEN {K.DEFAULT_MEAN_CO}
@@ -211,7 +211,10 @@ SELECT * FROM (
   LEFT JOIN rm ON rm.station_key = s.station_key AND rm.pollutant_id = c.pollutant_id
   LEFT JOIN tr ON tr.station_key = s.station_key AND tr.pollutant_id = c.pollutant_id) x
 WHERE make_date(start_year, 1, 1) <= CASE WHEN end_year = {WIN.end_year} THEN DATE '{WIN.end_date}'
-                                          ELSE make_date(end_year, 12, 31) END"""), [])
+                                          ELSE make_date(end_year, 12, 31) END"""
+
+
+@register("series_plan", with_base(SERIES_PLAN_SQL), [])
 def q_series_plan(spark, sf_dir):
     """Per capability: mean with default (D1, D4), trend (D3), window."""
     p = _plan(spark, sf_dir)

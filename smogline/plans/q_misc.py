@@ -10,7 +10,7 @@ from ..operators import upsert as U
 from ..sources import base_csv as B
 from ..sources import driver_tables as dt
 from ..sources import sinks as S
-from .q_catalog import WIN, _plan, base, caps_c, stations_c, zones_c, with_base
+from .q_catalog import SERIES_PLAN_SQL, WIN, _plan, base, caps_c, stations_c, zones_c, with_base
 from .q_state import PENDING_FROM, PENDING_TO, PENDING_SQL
 from .registry import register
 
@@ -129,7 +129,16 @@ def q_points(spark, sf_dir):
     return S.points(U.pending_rows(dt.readings(spark, sf_dir), PENDING_FROM, PENDING_TO))
 
 
-@register("output_check")
+@register("output_check", with_base(f"""
+WITH sp AS ({SERIES_PLAN_SQL}),
+counts AS (
+  SELECT 'zones' AS "table", count(*) AS n FROM zones_c
+  UNION ALL SELECT 'stations', count(*) FROM stations_c
+  UNION ALL SELECT 'pollutants', count(*) FROM codes
+  UNION ALL SELECT 'station_capabilities', count(*) FROM caps_c
+  UNION ALL SELECT 'measurement_years', count(DISTINCT y)
+            FROM (SELECT unnest(range(start_year, end_year + 1)) AS y FROM sp))
+SELECT "table", CAST(n AS BIGINT) AS n, n > 0 AS ok FROM counts"""), [])
 def q_output_check(spark, sf_dir):
     """Catalogue counts and measurement years of one generator run."""
     from ..operators import catalogs as CAT

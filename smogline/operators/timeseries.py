@@ -73,25 +73,46 @@ def monthly_mean(df: DataFrame, start=None, stop=None) -> DataFrame:
 ROWS_PER_CHUNK = 1_000_000
 
 
-def _with_chunks(df: DataFrame, chunk: str, rows_per_chunk: int) -> DataFrame:
+def _with_chunks(df: DataFrame, chunk: str, rows_per_chunk: int) -> DataFrame | None:
     """Add ``_chunk``: a calendar unit (``month``, ``day``, ...) or, for
     ``auto``, equal-width time slices sized per series so that each holds about
     ``rows_per_chunk`` rows (width from a per-series count/min/max aggregate,
-    joined back behind the size-checked broadcast)."""
+    joined back behind the size-checked broadcast). ``auto`` returns None when
+    the largest series already holds at most ``rows_per_chunk`` rows: then a
+    whole series is a bounded window partition and needs no chunks."""
     if chunk != "auto":
         return df.withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz"))
     stats = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"), F.min("ts_utc").alias("_t0"),
                                     F.max("ts_utc").alias("_t1"))
     n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk))
     width = F.floor(cal.micros_between("_t0", "_t1") / n_chunks) + 1
-    # One row per series, written once: the fact is then read by a single
-    # subplan (rows and chunk tails share it) instead of once per consumer.
-    stats = pin_table(stats.select(*SERIES, "_t0", width.cast("long").alias("_w")), "series_chunks")
-    j = lookup(df, stats, SERIES, how="inner")
+    # One row per series, written once: the size probe and the join read it
+    # instead of aggregating the fact again.
+    stats = pin_table(stats.select(*SERIES, "_n", "_t0", width.cast("long").alias("_w")), "series_chunks")
+    biggest = stats.agg(F.max("_n").alias("m")).first()["m"]
+    if biggest is None or biggest <= rows_per_chunk:
+        return None
+    j = lookup(df, stats.drop("_n"), SERIES, how="inner")
     return j.withColumn("_chunk", F.floor(cal.micros_between("_t0", "ts_utc") / F.col("_w")).cast("long")) \
             .drop("_t0", "_w")
 
 
+def _rates(rows: DataFrame, window_keys: list[str], unit_days: float) -> DataFrame:
+    w = Window.partitionBy(*window_keys).orderBy("ts_utc")
+    prev_ts, prev_v = F.lag("ts_utc").over(w), F.lag("value").over(w)
+    elapsed = cal.days_between(F.col("_pts"), F.col("ts_utc")) / F.lit(float(unit_days))
+    return (
+        rows.withColumn("_pts", prev_ts).withColumn("_pv", prev_v)
+        .filter(~F.col("_marker") & F.col("_pts").isNotNull())
+        .select(F.col("ts_utc").alias("time"),
+                F.year("ts_utc").cast("int").alias("year"),
+                F.month("ts_utc").cast("int").alias("month"),
+                F.dayofmonth("ts_utc").cast("int").alias("day"),
+                "pollutant_id", _sid(),
+                ((F.col("value") - F.col("_pv")) / elapsed).alias("daily_rate"))
+    )
+
+
 def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "auto",
                      start=None, stop=None, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """(v - v_prev) / elapsed-days per series; the first point of a series has
@@ -99,11 +120,16 @@ def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "auto",
 
     Skew-safe: the window is partitioned by (series, time chunk), so a series
     holding a third of all rows is spread over its chunks; ``auto`` sizes the
-    chunks from each series' row count. Each chunk's last point (a map-side
-    combined aggregate, one row per series and chunk) is carried into the next
-    non-empty chunk as a marker row, so one window pass sees every predecessor;
-    markers are dropped afterwards. No join of the fact with itself."""
-    base = _with_chunks(time_range(df, start, stop).select(*SERIES, "ts_utc", "value"), chunk, rows_per_chunk)
+    chunks from each series' row count, and skips them when every series is
+    within ``rows_per_chunk`` rows (a measured bound). Each chunk's last point
+    (a map-side combined aggregate, one row per series and chunk) is carried
+    into the next non-empty chunk as a marker row, so one window pass sees
+    every predecessor; markers are dropped afterwards. No join of the fact with
+    itself."""
+    points = time_range(df, start, stop).select(*SERIES, "ts_utc", "value")
+    base = _with_chunks(points, chunk, rows_per_chunk)
+    if base is None:
+        return _rates(points.withColumn("_marker", F.lit(False)), SERIES, unit_days)
     last = (base.groupBy(*SERIES, "_chunk")
             .agg(F.max_by(F.struct("ts_utc", "value"), F.col("ts_utc")).alias("_last")))
     nxt = F.lead("_chunk").over(Window.partitionBy(*SERIES).orderBy("_chunk"))
@@ -111,19 +137,7 @@ def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "auto",
              .select(*SERIES, F.col("_last.ts_utc").alias("ts_utc"), F.col("_last.value").alias("value"),
                      F.col("_next").alias("_chunk"), F.lit(True).alias("_marker")))
     rows = base.withColumn("_marker", F.lit(False)).unionByName(carry)
-    w = Window.partitionBy(*SERIES, "_chunk").orderBy("ts_utc")
-    prev_ts, prev_v = F.lag("ts_utc").over(w), F.lag("value").over(w)
-    elapsed = cal.days_between(F.col("_pts"), F.col("ts_utc")) / F.lit(float(unit_days))
-    return (
-        rows.withColumn("_pts", prev_ts).withColumn("_pv", prev_v)
-        .filter(~F.col("_marker") & F.col("_pts").isNotNull())
-        .select(F.col("ts_utc").alias("time"),
-                F.year("ts_utc").cast("int").alias("year"),
-                F.month("ts_utc").cast("int").alias("month"),
-                F.dayofmonth("ts_utc").cast("int").alias("day"),
-                "pollutant_id", _sid(),
-                ((F.col("value") - F.col("_pv")) / elapsed).alias("daily_rate"))
-    )
+    return _rates(rows, [*SERIES, "_chunk"], unit_days)
 
 
 def monthly_derivative(df: DataFrame, start=None, stop=None) -> DataFrame:

@@ -48,8 +48,12 @@ def spread(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     hash-partitioned on it: deterministic on task retry without the per-task
     sort a round-robin repartition needs, and even however skewed the data keys
     are, because the identity is (nearly) unique per row."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, *by) if by else df.repartition(cores)
 

@@ -211,3 +211,20 @@ def test_cascade_delete_zones(spark):
     assert sorted(r.pollutant_id for r in out["station_capabilities"].collect()) == ["co", "pm25"]
     m = out["measurements_raw"]
     assert m.count() == 50 and {r.station_id for r in m.collect()} == {20}
+
+
+def test_measurement_upsert_is_idempotent(spark):
+    """Applying the same updates again changes nothing: every key now matches,
+    values are the same, keys and insert times are kept."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    target = _raw(spark, [(10, 1, "a", "2024-01-01 00:00:00", 1.0, "u", "s", True, t0, t0)])
+    upd = spark.createDataFrame([(1, "a", "2024-01-01 00:00:00", 9.0, "u", "s"),
+                                 (2, "b", "2024-01-03 00:00:00", 5.0, "u", "s")],
+                                "station_id int, pollutant_id string, t string, value double, unit string, "
+                                "source string").withColumn("ts_utc", F.col("t").cast("timestamp_ntz"))
+    once = U.upsert_measurements(target, upd, now="2025-01-01 00:00:00")
+    cols = [c for c in once.columns if c != "year"]
+    twice = U.upsert_measurements(once.select(*cols), upd, now="2026-01-01 00:00:00")
+    assert sorted(map(tuple, once.select(*cols).collect())) == sorted(map(tuple, twice.select(*cols).collect()))
+    assert once.count() == 2

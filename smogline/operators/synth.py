@@ -123,6 +123,19 @@ def generator_partitions(plan: DataFrame, rows_per_task: int = ROWS_PER_TASK) ->
     return max(cores, -(-int(total) // rows_per_task))
 
 
+def with_spikes(days: DataFrame) -> DataFrame:
+    """Add ``_spike``: a U(1.5, 2.5) factor on exactly floor(2% of the series'
+    days) days chosen by hash rank, 1.0 elsewhere (op D11). One series is at
+    most the calendar span in days, so its window partition is bounded."""
+    key = ("station_id", "pollutant_id", "d")
+    series = Window.partitionBy("station_id", "pollutant_id")
+    rank = F.row_number().over(series.orderBy(F.xxhash64(*key, F.lit("spike")), F.col("d")))
+    n_days = F.datediff("last_day", "first_day") + 1
+    spike = F.when(rank <= F.floor(n_days * F.lit(K.SPIKE_FRACTION)),
+                   H.uniform(K.SPIKE_LOW, K.SPIKE_HIGH, *key, salt="spike_size")).otherwise(F.lit(1.0))
+    return days.withColumn("_spike", spike)
+
+
 def daily_series(plan: DataFrame, win: Window_, partitions: int | None = None) -> DataFrame:
     """Capabilities x days -> measurements (ops D6-D13, composed as D14)."""
     # One series is at most the calendar span in days (bounded, never skewed by
@@ -152,13 +165,7 @@ def daily_series(plan: DataFrame, win: Window_, partitions: int | None = None) -
                   ).otherwise(F.lit(0.0))
     v = days.withColumn("v", noise + season + week)
 
-    # Spikes: exactly floor(2% of the series' days) days, chosen by hash rank.
-    series = Window.partitionBy("station_id", "pollutant_id")
-    rank = F.row_number().over(series.orderBy(F.xxhash64(*key, F.lit("spike")), F.col("d")))
-    n_days = F.datediff("last_day", "first_day") + 1
-    spike = F.when(rank <= F.floor(n_days * F.lit(K.SPIKE_FRACTION)),
-                   H.uniform(K.SPIKE_LOW, K.SPIKE_HIGH, *key, salt="spike_size")).otherwise(F.lit(1.0))
-    v = v.withColumn("v", F.col("v") * spike)
+    v = with_spikes(v).withColumn("v", F.col("v") * F.col("_spike")).drop("_spike")
 
     digits = F.when(F.col("pollutant_id") == "co", F.lit(1)).otherwise(F.lit(2))
     clamped = F.greatest(F.col("v"), F.lit(0.0))

@@ -228,3 +228,19 @@ def test_measurement_upsert_is_idempotent(spark):
     twice = U.upsert_measurements(once.select(*cols), upd, now="2026-01-01 00:00:00")
     assert sorted(map(tuple, once.select(*cols).collect())) == sorted(map(tuple, twice.select(*cols).collect()))
     assert once.count() == 2
+
+
+def test_spike_count_is_two_percent_of_days(spark):
+    plan = spark.createDataFrame(
+        [(1, "pm25", "2020-01-01", "2020-12-31"), (2, "co", "2021-01-01", "2021-03-31"),
+         (3, "no2", "2021-01-01", "2021-01-20")],
+        "station_id int, pollutant_id string, f string, l string") \
+        .select("station_id", "pollutant_id", F.col("f").cast("date").alias("first_day"),
+                F.col("l").cast("date").alias("last_day"))
+    days = plan.withColumn("d", F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))))
+    got = {r.station_id: (r.n, r.spikes, r.lo, r.hi) for r in SY.with_spikes(days).groupBy("station_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_spike") != 1.0).alias("spikes"),
+        F.min(F.when(F.col("_spike") != 1.0, F.col("_spike"))).alias("lo"),
+        F.max(F.when(F.col("_spike") != 1.0, F.col("_spike"))).alias("hi")).collect()}
+    assert {k: (n, s) for k, (n, s, _, _) in got.items()} == {1: (366, 7), 2: (90, 1), 3: (20, 0)}
+    assert all(1.5 <= lo <= hi < 2.5 for _, s, lo, hi in got.values() if s)

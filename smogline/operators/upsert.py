@@ -54,7 +54,7 @@ def max_key(df: DataFrame, key: str = "measurement_sk") -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
-def assign_surrogate_keys(df: DataFrame, order_cols: list[str], start: int = 0,
+def assign_surrogate_keys(df: DataFrame, order_cols: list, start: int = 0,
                           key: str = "measurement_sk") -> DataFrame:
     """Dense keys ``start+1, start+2, ...`` in ``order_cols`` order (op H8).
 
@@ -62,7 +62,9 @@ def assign_surrogate_keys(df: DataFrame, order_cols: list[str], start: int = 0,
     the sorted frame is checkpointed to the shared checkpoint folder (pins the
     partitions and cuts lineage), each partition's row count is aggregated
     (one row per partition), and its running offset is added to the position of
-    the row inside its partition."""
+    the row inside its partition. ``order_cols`` (names or sort columns) should
+    identify a row, as a natural key or an ingest position does: then the range
+    partitions are even, and keys are reproducible on a rerun."""
     ensure_checkpoint_dir(df.sparkSession)
     ordered = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
     pinned = ordered.checkpoint(eager=True)

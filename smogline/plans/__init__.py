@@ -1 +1,4 @@
-"""End-to-end plans and the registry of named queries with their SQL oracles."""
+"""Named queries and their oracles. Importing the package registers them all."""
+
+from . import registry  # noqa: F401
+from . import q_enrich, q_analyses, q_state, q_catalog, q_misc  # noqa: F401,E402

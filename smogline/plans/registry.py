@@ -25,6 +25,3 @@ def register(name: str, oracle: str | None = None, views: list[str] | None = Non
         return fn
     return deco
 
-
-# Import modules that register queries.
-from . import q_enrich, q_analyses, q_state, q_catalog, q_misc  # noqa: E402,F401

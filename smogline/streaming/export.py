@@ -37,3 +37,18 @@ def export_points(spark: SparkSession, source_path: str, schema, out_path: str,
     return (pending.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
+
+
+POINT_KEYS = ["measurement", "station_id", "pollutant_id", "unit", "source", "year", "time"]
+
+
+def read_points(spark: SparkSession, out_path: str) -> DataFrame:
+    """The exported points as the time-series store would hold them: a point
+    written again with the same tags and time (a re-exported, rewritten year
+    partition, or an updated row) replaces the earlier one, so the latest epoch
+    wins (then the larger ``measurement_sk``). A ``max_by`` aggregate, combined
+    map-side."""
+    df = spark.read.parquet(out_path)
+    order = F.struct(F.col("epoch"), F.col("measurement_sk"))
+    g = df.groupBy(*POINT_KEYS).agg(F.max_by(F.struct("value", "measurement_sk"), order).alias("_w"))
+    return g.select(*POINT_KEYS, F.col("_w.value").alias("value"), F.col("_w.measurement_sk").alias("measurement_sk"))

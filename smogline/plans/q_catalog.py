@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -140,8 +142,6 @@ def q_base_csv_roundtrip(spark, sf_dir):
     padded header names, written to the shared folder, then read back by the CSV
     source (A1: header, every column as text, trimmed names, required-column
     check B12), parsed (B1) and cut to the six known pollutants (B2)."""
-    import uuid
-
     rows = B.driver_base_rows(spark, sf_dir).drop(B.POS)
     path = scratch_path(spark, f"base_csv_text-{uuid.uuid4().hex}")
     rows.toDF(*[f" {c} " for c in rows.columns]).write.option("header", True).csv(path)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from ..operators import upsert as U
+from ..session import scratch_path
 from ..sources import driver_tables as dt
+from ..sources import sinks as S
 from ..sources import years as Y
 from .q_analyses import cleaned, with_clean
 from .q_enrich import RUN_LOADED_AT
@@ -159,12 +164,6 @@ def q_facts_by_year(spark, sf_dir):
     """Cleaned facts written as one dataset partitioned by year (A9), then read
     back for the years of an inclusive YEAR_START..YEAR_END selection (A5) as a
     partition filter (A4)."""
-    import uuid
-
-    from ..functions import calendar as cal
-    from ..session import scratch_path
-    from ..sources import sinks as S
-
     path = scratch_path(spark, f"facts-{uuid.uuid4().hex}")
     S.write_facts_by_year(cleaned(spark, sf_dir).withColumn("year", cal.year_of("ts_utc")), path)
     years = Y.years_to_process(year="NONE", year_start=FACT_YEAR_START, year_end=FACT_YEAR_END)

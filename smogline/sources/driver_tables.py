@@ -40,9 +40,15 @@ DRIVER_POLLUTANTS = [
 BASE_DATA_END = 1998  # last "observed" year of the lineitem-backed facts
 
 
+# A scan with at least this many splits is parallel enough as it is: spreading it
+# would only add a shuffle of the whole table.
+SPREAD_MAX_SPLITS = 16
+
+
 def spread(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Spread a scan that arrives in fewer splits than the session has cores
-    (one file with one row group); a no-op for the many-file inputs of a cluster.
+    """Spread a scan that arrives in very few splits (one file with one row
+    group) over the session's cores; a no-op for the many-split inputs of a
+    cluster, and for any scan with ``SPREAD_MAX_SPLITS`` splits or more.
 
     With ``by`` (the row identity: ingest position or surrogate key) rows are
     hash-partitioned on it: deterministic on task retry without the per-task
@@ -53,7 +59,7 @@ def spread(df: DataFrame, by: list[str] | None = None) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave the scan as is
         return df
-    if splits >= cores:
+    if splits >= cores or splits >= SPREAD_MAX_SPLITS:
         return df
     return df.repartition(cores, *by) if by else df.repartition(cores)
 

@@ -82,3 +82,17 @@ def test_validation_rule_sets(spark):
     assert V.validate(caps, V.capability_rules()).first().errors == "pollutant_id: longer than 20"
     ok, bad = V.split_valid(V.validate(st, V.station_rules()))
     assert ok.count() == 1 and bad.count() == 1
+
+
+def test_spread_only_narrow_scans(spark):
+    from smogline.sources import driver_tables as dt
+    d = tempfile.mkdtemp(prefix="smogline-spread-")
+    spark.range(0, 1000).coalesce(1).write.parquet(f"{d}/one")
+    one = spark.read.parquet(f"{d}/one")
+    spread = dt.spread(one, ["id"])
+    cores = spark.sparkContext.defaultParallelism
+    assert spread.rdd.getNumPartitions() == cores
+    sizes = spread.rdd.glom().map(len).collect()
+    assert sum(sizes) == 1000 and max(sizes) - min(sizes) < 1000 // cores  # even by identity hash
+    wide = spark.range(0, 1000, numPartitions=max(cores, dt.SPREAD_MAX_SPLITS))
+    assert dt.spread(wide, ["id"]) is wide

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_ci
+from .upsert import assign_surrogate_keys
 
 
 def list_all(df: DataFrame) -> DataFrame:
@@ -13,9 +14,22 @@ def list_all(df: DataFrame) -> DataFrame:
     return df.select("*")
 
 
-def page(df: DataFrame, key: str, skip: int = 0, limit: int = 100) -> DataFrame:
-    """Rows ``skip .. skip+limit`` in key order (op I2; the reference had no order)."""
-    return df.orderBy(F.col(key).asc()).offset(skip).limit(limit)
+# Deepest page end served by a top-k: every partition sends at most this many rows
+# to the final merge. Deeper pages are numbered on the range-partitioned path.
+DEEP_PAGE_ROWS = 10_000
+
+
+def page(df: DataFrame, key: str, skip: int = 0, limit: int = 100,
+         deep_rows: int = DEEP_PAGE_ROWS) -> DataFrame:
+    """Rows ``skip .. skip+limit`` in key order (op I2; the reference had no order).
+    A shallow page is a top-k (``offset``/``limit``). A deep one would make every
+    partition send ``skip + limit`` rows to one task, so the rows are numbered in
+    key order by the range-partitioned surrogate-key path (per-partition offsets,
+    no global window) and the page is a filter on that number."""
+    if skip + limit <= deep_rows:
+        return df.orderBy(F.col(key).asc()).offset(skip).limit(limit)
+    ranked = assign_surrogate_keys(df, [F.col(key).asc()], key="_rank")
+    return ranked.filter((F.col("_rank") > skip) & (F.col("_rank") <= skip + limit)).drop("_rank")
 
 
 def fetch(df: DataFrame, key: str, value) -> DataFrame:

@@ -59,3 +59,12 @@ def test_check_status(spark):
     assert Y.check_status(st, fail_on_error=False).count() == 2
     with pytest.raises(RuntimeError):
         Y.check_status(st, fail_on_error=True)
+
+
+def test_deep_page_matches_top_k(spark):
+    from smogline.operators import lookup as L
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 3000).alias("k"), F.col("id")).repartition(9)
+    for skip, limit in ((0, 10), (100, 100), (2950, 100), (1234, 567)):
+        top = [r.k for r in L.page(df, "k", skip, limit).collect()]
+        deep = sorted(r.k for r in L.page(df, "k", skip, limit, deep_rows=0).collect())
+        assert sorted(top) == deep == list(range(skip, min(skip + limit, 3000))), (skip, limit)

@@ -22,6 +22,11 @@ def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str |
               fetchsize: int = 5000, **props) -> DataFrame:
     """JDBC source with a pushed-down subquery (op A8), split into ``partitions``
     range reads on ``partition_column`` instead of one connection."""
+    if partition_column is not None:
+        if lower is None or upper is None or int(lower) >= int(upper):
+            raise ValueError("a partitioned JDBC read needs lower < upper bounds on the partition column")
+        if partitions < 1:
+            raise ValueError("partitions must be at least 1")
     r = (spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) AS q")
          .option("fetchsize", str(fetchsize)))
     if partition_column is not None:

@@ -49,3 +49,15 @@ def test_year_partitioned_sink_and_catalogue_source(spark):
     S.write_table(st.limit(0), f"{work}/empty")
     with pytest.raises(ValueError):
         S.read_catalogue(spark, f"{work}/empty", schemas.STATIONS)
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    import pytest
+    # Checked before any connection is opened (no database may run here).
+    for lower, upper in ((None, 10), (10, 10), (20, 10)):
+        with pytest.raises(ValueError):
+            S.read_jdbc(spark, "jdbc:none://x", "SELECT 1", partition_column="measurement_sk",
+                        lower=lower, upper=upper)
+    with pytest.raises(ValueError):
+        S.read_jdbc(spark, "jdbc:none://x", "SELECT 1", partition_column="measurement_sk",
+                    lower=0, upper=10, partitions=0)

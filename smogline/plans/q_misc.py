@@ -112,6 +112,48 @@ def q_validate(spark, sf_dir):
     return V.validate(_form_rows(spark, sf_dir), V.measurement_rules())
 
 
+def _sql_req_len(c: str, n: int) -> str:
+    return (f"CASE WHEN {c} IS NULL OR trim({c}) = '' THEN '{c}: required' "
+            f"WHEN length({c}) > {n} THEN '{c}: longer than {n}' END")
+
+
+def _sql_int(c: str, required: bool = True) -> str:
+    req = f"WHEN {c} IS NULL OR trim({c}) = '' THEN '{c}: required' " if required else ""
+    return (f"CASE {req}WHEN NOT ({c} IS NULL OR trim({c}) = '') AND TRY_CAST(trim({c}) AS INTEGER) IS NULL "
+            f"THEN '{c}: not an integer' END")
+
+
+def _sql_dec(c: str) -> str:
+    return (f"CASE WHEN NOT ({c} IS NULL OR trim({c}) = '') AND TRY_CAST(trim({c}) AS DOUBLE) IS NULL "
+            f"THEN '{c}: not a decimal' END")
+
+
+def _sql_len(c: str, n: int) -> str:
+    return f"CASE WHEN length({c}) > {n} THEN '{c}: longer than {n}' END"
+
+
+STATION_TEXT = ["station_id", "station_code", "station_name", "zone_id", "lat", "lon", "station_type",
+                "authority", "years_min", "years_max"]
+_STATION_RULES = ", ".join([
+    _sql_int("station_id"), _sql_req_len("station_code", 50), _sql_req_len("station_name", 200),
+    _sql_int("zone_id"), _sql_dec("lat"), _sql_dec("lon"), _sql_len("station_type", 100),
+    _sql_len("authority", 100), _sql_int("years_min", False), _sql_int("years_max", False)])
+
+
+@register("validate_station_forms", with_base(f"""
+WITH f AS (SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in STATION_TEXT)} FROM stations_c),
+e AS (SELECT station_id, list_filter([{_STATION_RULES}], lambda x: x IS NOT NULL) AS errs FROM f)
+SELECT CAST(station_id AS INTEGER) AS station_id, array_to_string(errs, '; ') AS errors,
+       CAST(len(errs) AS INTEGER) AS n_errors FROM e"""), [])
+def q_validate_stations(spark, sf_dir):
+    """The derived station catalogue submitted as station forms (B19, station rule
+    set): every field as text, checked for presence, type and length."""
+    st = stations_c(spark, sf_dir)
+    forms = st.select(*[F.col(c).cast("string").alias(c) for c in STATION_TEXT])
+    out = V.validate(forms, V.station_rules())
+    return out.select(F.col("station_id").cast("int").alias("station_id"), "errors", "n_errors")
+
+
 @register("influx_points", f"""
 WITH p AS ({PENDING_SQL}),
 q AS (

@@ -64,3 +64,23 @@ def test_newest_n_matches_brute_force(spark):
     for n in (1, 50, 1999, 2000, 2001, 2500, 3000, 5000):
         got = sorted(((r.ts_utc, r.measurement_sk) for r in E.newest_n(df, n).collect()), reverse=True)
         assert got == rows[:n], n
+
+
+def test_plans_push_filters_and_prune_columns(spark):
+    """Plan quality: the flagship's extract filter reaches the Parquet scan, and the
+    cleaned facts read only the lineitem columns they map."""
+    import __spark_entry__ as SE
+    from tests.conftest import SF_SMALL
+
+    def plan(df):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        return df._jdf.queryExecution().explainString(mode)
+
+    flagship = plan(SE.queries()["enriched_fact"](spark, SF_SMALL))
+    pushed = [line for line in flagship.split("\n") if line.startswith("PushedFilters: [IsNotNull(ts)")][0]
+    assert "IsNotNull(ts)" in pushed and "Not(EqualTo(event_type,error))" in pushed
+    clean = plan(SE.queries()["clean_measurements"](spark, SF_SMALL))
+    schema = clean[clean.index("ReadSchema: struct<"):].split(">")[0]
+    assert "l_shipdate" in schema and "l_quantity" in schema
+    for unused in ("l_partkey", "l_extendedprice", "l_discount", "l_tax"):
+        assert unused not in schema

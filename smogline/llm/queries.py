@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lines, quality, simhash, topk
+from . import bpe, decontam, lines, quality, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontam.op2_decontamination,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": topk.op5_topk,
     "op6_simhash": simhash.op6_simhash,
     "op9_line_dedup": lines.op9_line_dedup,
+    "op10_substrings": substrings.op10_substrings,
 }
 
 ORACLES: dict[str, str] = {

@@ -34,11 +34,16 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     shuffle = common.shuffle_parts(spark)
     buckets = max(shuffle, int(total // (2 * CHUNK_BYTES)) + 1)
     chunks = max(2 * buckets, int(total // CHUNK_BYTES) + 1)
-    name = f"smogline_chunks_{uuid.uuid4().hex}"
     rows = rows.withColumn("chunk", common.hash_part(F.xxhash64("doc_id", "text"), chunks, "chunk"))
-    (rows.repartition(buckets, "chunk").write.bucketBy(buckets, "chunk").option("compression", "zstd")
+    return bucketed(rows, "chunk", buckets), max(shuffle, int(total // PART_BYTES) + 1)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written to the shared folder so that grouping by ``key`` needs no further shuffle."""
+    spark, name = df.sparkSession, f"smogline_{key}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).option("compression", "zstd")
      .option("path", scratch_path(spark, name)).saveAsTable(name))
-    return spark.table(name), max(shuffle, int(total // PART_BYTES) + 1)
+    return spark.table(name)
 
 
 def ask(chunks: DataFrame, answers: DataFrame | None, question: Callable, reply: Callable, schema: str = ANSWER) -> DataFrame:

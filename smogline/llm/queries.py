@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, lines, quality, simhash, substrings, topk
+from . import bpe, ctw, decontam, lines, quality, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontam.op2_decontamination,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": bpe.op4_bpe,
     "op5_topk": topk.op5_topk,
     "op6_simhash": simhash.op6_simhash,
+    "op7_ctw": ctw.op7_ctw,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_substrings": substrings.op10_substrings,
 }

@@ -69,7 +69,8 @@ def named(rows: DataFrame, keys: list[str], name: str, how: str) -> DataFrame:
     """Give rows whose ``keys`` are shared the earliest place of those as their ``name``."""
     shared = (rows.filter(F.col(keys[-1]).isNotNull()).groupBy(*keys)
               .agg(F.min("at").alias(name), F.count("*").alias("copies")).filter("copies > 1").drop("copies"))
-    return rows.join(shared, keys, how)
+    # read back, both sides of the join have shuffles of their own, which adaptive execution can split
+    return rows.join(pin_table(shared, "shared"), keys, how)
 
 
 def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:

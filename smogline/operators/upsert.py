@@ -24,11 +24,17 @@ def _ts(now) -> Column:
     return F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
 
 
-def upsert_replace(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+def one_update(updates: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """The last update of each key in ``order``, as statements applied one by one
+    would leave it; without an order the largest row wins, so reruns agree."""
+    return keep_one(updates, keys, order or [c for c in updates.columns if c not in keys], last=True)
+
+
+def upsert_replace(target: DataFrame, updates: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Replace all non-key columns on key match, insert new keys (op H1).
-    = target rows whose key is absent from ``updates`` + all ``updates``."""
-    kept = target.join(updates.select(*keys).distinct(), on=keys, how="left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    = target rows whose key is absent from ``updates`` + the last update of each key."""
+    kept = target.join(updates.select(*keys), on=keys, how="left_anti")
+    return kept.unionByName(one_update(updates, keys, order).select(*target.columns))
 
 
 def delete_insert(target: DataFrame, staging: DataFrame, key: str = "measurement_sk") -> DataFrame:
@@ -37,11 +43,18 @@ def delete_insert(target: DataFrame, staging: DataFrame, key: str = "measurement
     return kept.unionByName(staging.select(*target.columns))
 
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): new keys are inserted, existing keys rejected (op H4)."""
-    existing = target.select(*keys).distinct()
-    return (rows.join(existing, on=keys, how="left_anti"),
-            rows.join(existing, on=keys, how="left_semi"))
+def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str],
+                     order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): new keys are inserted, existing keys rejected (op H4).
+    Rows that repeat a new key are taken in ``order`` (all other columns by default): the first is
+    accepted, the others are rejected. A key's rows are ranked together, so ``rows`` is a
+    batch of requests, not a fact."""
+    turn = Window.partitionBy(*keys).orderBy(*(order or [c for c in rows.columns if c not in keys]))
+    asked = rows.withColumn("_turn", F.row_number().over(turn))
+    existing = target.select(*keys).distinct().withColumn("_there", F.lit(True))
+    judged = asked.join(existing, on=keys, how="left")
+    new = F.col("_there").isNull() & (F.col("_turn") == 1)
+    return (judged.filter(new).select(*rows.columns), judged.filter(~new).select(*rows.columns))
 
 
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -115,7 +128,8 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     Matched: value, unit, source replaced; processed_at reset to NULL; sk,
     inserted_at and is_valid kept. New: next surrogate keys (H8) in key order,
     inserted_at = now, is_valid = true, processed_at NULL. Several updates of one
-    key: the last in ``update_order`` wins, as sequential statements would.
+    key: the last in ``update_order`` wins, as sequential statements would (without an
+    order the largest value does).
 
     The full outer join runs once: its result is written to the shared
     checkpoint folder and both the kept rows and the new rows read it. With
@@ -123,13 +137,12 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     the years present in the updates and the result holds only those years, for
     a dynamic partition overwrite."""
     cols = ["station_id", "pollutant_id", "ts_utc", "value", "unit", "source"]
+    start = max_key(target)  # over the whole store: keys of other years are in use too
     if only_touched_years:
         target = touched_years(target, updates)
     if "year" in target.columns:
         target = target.drop("year")
-    upd = updates.select(*cols, *(update_order or []))
-    if update_order:
-        upd = keep_one(upd, keys, update_order, last=True).drop(*update_order)
+    upd = one_update(updates.select(*cols, *(update_order or [])), keys, update_order).select(*cols)
     upd = upd.withColumn("_u", F.lit(True))
     t = target.withColumn("_t", F.lit(True))
     j = t.join(upd.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols if c not in keys], "_u"),
@@ -145,7 +158,6 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     )
     new = j.filter(F.col("_t").isNull()).select(
         *keys, *[F.col(f"_new_{c}").alias(c) for c in ("value", "unit", "source")])
-    start = max_key(target)
     new = assign_surrogate_keys(new, keys, start).select(
         "measurement_sk", *keys, "value", "unit", "source",
         F.lit(True).alias("is_valid"), _ts(now).alias("inserted_at"),

@@ -244,3 +244,34 @@ def test_spike_count_is_two_percent_of_days(spark):
         F.max(F.when(F.col("_spike") != 1.0, F.col("_spike"))).alias("hi")).collect()}
     assert {k: (n, s) for k, (n, s, _, _) in got.items()} == {1: (366, 7), 2: (90, 1), 3: (20, 0)}
     assert all(1.5 <= lo <= hi < 2.5 for _, s, lo, hi in got.values() if s)
+
+
+def _store(spark):
+    rows = [(y * 10 + k, k, "pm25", f"{y}-0{k}-01 00:00:00", 1.0) for y in (2023, 2024) for k in range(1, 6)]
+    df = spark.createDataFrame(rows, "measurement_sk long, station_id int, pollutant_id string, ts string, value double")
+    return df.selectExpr("measurement_sk", "station_id", "pollutant_id", "CAST(ts AS timestamp_ntz) AS ts_utc", "value", "'u' AS unit",
+                         "'s' AS source", "true AS is_valid", "CAST(ts AS timestamp_ntz) AS inserted_at",
+                         "CAST(NULL AS timestamp_ntz) AS processed_at", "year(CAST(ts AS timestamp_ntz)) AS year")
+
+
+def test_new_rows_of_an_older_year_get_unused_keys(spark):
+    store = _store(spark)
+    upd = spark.createDataFrame([(9, "pm25", "2023-07-01", 5.0, "u", "s"), (1, "pm25", "2023-01-01", 2.0, "u", "s"),
+                                 (1, "pm25", "2023-01-01", 3.0, "u", "s")],
+                                "station_id int, pollutant_id string, ts string, value double, unit string, source string")
+    upd = upd.withColumn("ts_utc", F.col("ts").cast("timestamp_ntz")).drop("ts")
+    out = U.upsert_measurements(store, upd, now="2025-01-01", only_touched_years=True).collect()
+    assert {r.year for r in out} == {2023} and len(out) == 6
+    used = {r.measurement_sk for r in store.collect()}
+    assert [r.measurement_sk for r in out if r.station_id == 9] == [max(used) + 1]
+    assert [r.value for r in out if r.station_id == 1] == [3.0]
+
+
+def test_repeated_updates_apply_one_by_one(spark):
+    t = spark.createDataFrame([(1, "a"), (5, "e")], "k int, v string")
+    u = spark.createDataFrame([(1, "b", 1), (1, "c", 0), (2, "x", 1), (2, "y", 2)], "k int, v string, n int")
+    got = U.upsert_replace(t.withColumn("n", F.lit(0)), u, ["k"], order=["n"]).collect()
+    assert sorted((r.k, r.v) for r in got) == [(1, "b"), (2, "y"), (5, "e")]
+    yes, no = U.insert_if_absent(t.withColumn("n", F.lit(0)), u, ["k"], order=["n"])
+    assert [(r.k, r.v) for r in yes.collect()] == [(2, "x")]
+    assert sorted((r.k, r.v) for r in no.collect()) == [(1, "b"), (1, "c"), (2, "y")]

@@ -64,6 +64,8 @@ def whole_days_between(start, end) -> Column:
 
 
 def parse_iso_utc(c) -> Column:
-    """ISO text ``YYYY-MM-DD[T ]HH:MM:SS[.f][Z]`` -> UTC wall clock; bad text -> NULL."""
+    """ISO text ``YYYY-MM-DD[T ]HH:MM:SS[.f][Z or offset]`` -> UTC wall clock; an
+    offset is applied, bad text -> NULL."""
     text = F.regexp_replace(F.trim(_c(c).cast("string")), "(?i)z$", "")
-    return text.try_cast("timestamp_ntz")
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.rlike(r"\d:\d{2}.*[+-]\d{1,2}(:?\d{2})?$"), instant).otherwise(text.try_cast("timestamp_ntz"))

@@ -11,8 +11,9 @@ def _c(c) -> Column:
 
 
 def number_from_text(c) -> Column:
-    """Strip ``,`` thousands separators and read a double; bad text -> NULL."""
-    return F.regexp_replace(F.trim(_c(c).cast("string")), ",", "").try_cast("double")
+    """Strip ``,`` thousands separators and read a double; bad text and text that
+    reads as NaN -> NULL."""
+    return nan_to_null(F.regexp_replace(F.trim(_c(c).cast("string")), ",", "").try_cast("double"))
 
 
 def nan_to_null(c) -> Column:

@@ -67,7 +67,7 @@ def stations(base: DataFrame, zones_df: DataFrame, end_year: int, base_data_end:
         *[first_nn(c) for c in ("station_name", "dept", "muni", "lat", "lon", "authority", "station_type")],
         F.min("year").cast("int").alias("years_min"), F.max("year").cast("int").alias("years_max"))
     sid_text = station_key("station_raw")
-    g = g.withColumn("_sid_text", sid_text).withColumn("station_id", sid_text.try_cast("double").cast("int"))
+    g = g.withColumn("_sid_text", sid_text).withColumn("station_id", sid_text.try_cast("double").try_cast("int"))
     g = g.filter(F.col("station_id").isNotNull() & F.col("years_min").isNotNull())
     # Keep the first raw id per numeric id (grouped order = raw id text order).
     g = g.groupBy("station_id").agg(F.min_by(F.struct(*[c for c in g.columns if c != "station_id"]),

@@ -68,3 +68,16 @@ def test_deep_page_matches_top_k(spark):
         top = [r.k for r in L.page(df, "k", skip, limit).collect()]
         deep = sorted(r.k for r in L.page(df, "k", skip, limit, deep_rows=0).collect())
         assert sorted(top) == deep == list(range(skip, min(skip + limit, 3000))), (skip, limit)
+
+
+def test_offsets_are_applied(spark):
+    from smogline.functions.calendar import parse_iso_utc
+    from smogline.functions.numeric import number_from_text
+    rows = ["2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00-05:00", "2024-01-01T00:00:00Z", "2024-01-01 03:04:05.5",
+            "2024-01-01", "not-a-date", None]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [str(r[0]) for r in df.select(parse_iso_utc("t")).collect()]
+    assert got == ["2023-12-31 22:00:00", "2024-01-01 05:00:00", "2024-01-01 00:00:00", "2024-01-01 03:04:05.500000",
+                   "2024-01-01 00:00:00", "None", "None"]
+    nums = spark.createDataFrame([(t,) for t in ("1,234.5", "NaN", "x")], "t string")
+    assert [r[0] for r in nums.select(number_from_text("t")).collect()] == [1234.5, None, None]

@@ -62,4 +62,4 @@ CENTROID_LON_RANGE = (-79.0, -66.0)
 
 # --- fixed values: incremental extract -----------------------------------------
 EXTRACT_FLOOR_DATE = "2000-01-01"
-EXTRACT_BATCH_ROWS = 50000
+

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import enrich as E
@@ -62,18 +63,36 @@ def enriched_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("enriched_fact", ENRICHED_SQL)(enriched_from)
 
 
-INCREMENTAL_SQL = f"""
+EXTRACT_COLS = ["measurement_sk", "station_id", "pollutant_id", "ts_utc", "value"]
+TOP_N, SINCE_DAYS = 500, 5
+
+EXTRACT_SQL = f"""
 SELECT measurement_sk, station_id, pollutant_id, ts_utc, value
 FROM readings
 WHERE is_valid AND value IS NOT NULL AND ts_utc >= DATE '{K.EXTRACT_FLOOR_DATE}'
-ORDER BY ts_utc DESC, measurement_sk DESC
-LIMIT {K.EXTRACT_BATCH_ROWS}
 """
 
 
-@register("incremental_extract_top_n", INCREMENTAL_SQL)
+@register("incremental_extract", EXTRACT_SQL)
+def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract from the floor date on, without a row limit (op B14)."""
+    return E.incremental_extract(dt.readings(spark, sf_dir)).select(*EXTRACT_COLS)
+
+
+@register("incremental_extract_since_days", f"""
+SELECT measurement_sk, station_id, pollutant_id, ts_utc, value
+FROM readings
+WHERE is_valid AND value IS NOT NULL
+  AND ts_utc >= (SELECT CAST(max(ts_utc) AS DATE) - {SINCE_DAYS} FROM readings)
+""")
+def incremental_extract_since_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract of the last days, counted back from the newest row's day (op B14)."""
+    raw = dt.readings(spark, sf_dir)
+    newest = raw.agg(F.max("ts_utc").cast("date").alias("d")).first()["d"]
+    return E.incremental_extract(raw, since_days=SINCE_DAYS, today=newest).select(*EXTRACT_COLS)
+
+
+@register("incremental_extract_top_n", EXTRACT_SQL + f"ORDER BY ts_utc DESC, measurement_sk DESC LIMIT {TOP_N}")
 def incremental_extract_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest-N batch of the extract (op B14); the top-N is the feature."""
-    df = E.incremental_extract(dt.readings(spark, sf_dir), since_days=0,
-                               limit=K.EXTRACT_BATCH_ROWS)
-    return df.select("measurement_sk", "station_id", "pollutant_id", "ts_utc", "value")
+    """The newest ``TOP_N`` rows of the extract (op B14); the top-N is the feature."""
+    return E.incremental_extract(dt.readings(spark, sf_dir), limit=TOP_N).select(*EXTRACT_COLS)

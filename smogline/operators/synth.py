@@ -9,6 +9,7 @@ hashes of (station, pollutant, date), so retried tasks reproduce their rows.
 from __future__ import annotations
 
 import math
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -27,6 +28,13 @@ class Window_:
     base_data_end: int
     end_date: str  # last generated day in end_year (ISO date)
 
+    def __post_init__(self):
+        last = _dt.date.fromisoformat(self.end_date)
+        if self.start_year > self.end_year or self.base_data_end > self.end_year:
+            raise ValueError("the generator's start and base data must not lie after its end year")
+        if last.year != self.end_year:
+            raise ValueError("the last generated day must lie in the end year")
+
 
 def _keyed(base: DataFrame, spark_codes: DataFrame) -> DataFrame:
     b = base.select(station_key("station_raw").alias("station_key"), F.trim("variable").alias("variable"),

@@ -39,12 +39,13 @@ def row_bytes(df: DataFrame) -> Column:
 def checked_broadcasts(dims: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
     """A broadcast hint for each dimension whose row count and payload bytes,
-    measured by one job for all of them (each read stops after ``max_rows + 1``
-    rows), are within the bounds; the others stay plain frames (shuffle join,
-    which AQE may still convert at run time from measured shuffle sizes)."""
+    measured by one job for all of them, are within the bounds; the others stay plain
+    frames (shuffle join, which AQE may still convert at run time from measured
+    shuffle sizes). Counts and sums are combined in each task first, so no task
+    receives rows."""
     if not dims:
         return []
-    parts = [d.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+    parts = [d.agg(F.count(F.lit(1)).alias("n"),
                                        F.coalesce(F.sum(row_bytes(d)), F.lit(0)).alias("b"))
              .select(F.lit(i).alias("i"), "n", "b")
              for i, d in enumerate(dims)]

@@ -69,12 +69,12 @@ def station_rules() -> list[Column]:
 
 def zone_rules() -> list[Column]:
     return [rule_int("zone_id"), _req_len("city_code", 10), _req_len("city_name", 100),
-            _req_len("zone_code", 50), _req_len("zone_name", 100), rule_int("population", required=False),
+            rule_max_len("zone_code", 50), rule_max_len("zone_name", 100), rule_int("population", required=False),
             rule_decimal("centroid_lat"), rule_decimal("centroid_lon")]
 
 
 def pollutant_rules() -> list[Column]:
-    return [_req_len("pollutant_id", 20), _req_len("name", 100), _req_len("default_unit", 20),
+    return [_req_len("pollutant_id", 20), _req_len("name", 100), rule_max_len("default_unit", 20),
             rule_decimal("who_daily_limit"), rule_decimal("who_annual_limit")]
 
 

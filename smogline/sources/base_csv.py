@@ -43,13 +43,12 @@ def newest_file(spark: SparkSession, pattern: str) -> DataFrame:
     listing is a distributed scan of file metadata only (the ``binaryFile``
     source without its content column, so no file body is read); the newest
     path (one scalar, ties to the larger path) comes back and only that file is
-    read."""
+    read, as ``read_base_csv`` reads it."""
     listing = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")
     newest = listing.orderBy(F.col("modificationTime").desc(), F.col("path").desc()).select("path").first()
     if newest is None:
         raise FileNotFoundError(f"no file matches {pattern}")
-    raw = spark.read.option("header", True).csv(newest["path"])
-    return raw.toDF(*[c.strip() for c in raw.columns]).withColumn("_file", F.col("_metadata.file_path"))
+    return read_base_csv(spark, newest["path"])
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

@@ -11,10 +11,10 @@ from .base_csv import check_columns, require_rows
 
 def read_catalogue(spark: SparkSession, path: str, schema, required=None) -> DataFrame:
     """A catalogue in Parquet with a declared schema; error when empty or when a
-    required column is missing (ops A3, B12)."""
-    df = spark.read.schema(schema).parquet(path)
-    check_columns(df, required or [f.name for f in schema.fields])
-    return require_rows(df, path)
+    required column is missing (ops A3, B12). The files' own schema is checked:
+    reading by the declared one would fill what is missing with NULLs."""
+    check_columns(spark.read.parquet(path), required or [f.name for f in schema.fields])
+    return require_rows(spark.read.schema(schema).parquet(path), path)
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str | None = None,
@@ -51,12 +51,12 @@ def write_table(df: DataFrame, path: str) -> None:
 
 def points(df: DataFrame, measurement: str = "air_quality") -> DataFrame:
     """Time-series points (op A12): tags station_id, pollutant_id and, when
-    non-empty, unit, source, year; field ``value``; second precision; a missing
+    non-empty, unit, source and a year other than 0; field ``value``; second precision; a missing
     time becomes now. Points with equal (tags, time) overwrite each other, the
     last written (highest measurement_sk) wins."""
     def tag(c):
         t = F.col(c).cast("string")
-        return F.when(t.isNotNull() & (t != "") & (t != "0"), t).alias(c)
+        return F.when(t.isNotNull() & (t != "") & ((F.lit(c) != "year") | (t != "0")), t).alias(c)
     ts = F.date_trunc("second", F.coalesce(cal.as_wall_clock("ts_utc"),
                                             F.current_timestamp().cast("timestamp_ntz"))).cast("timestamp_ntz")
     p = df.select(F.lit(measurement).alias("measurement"),

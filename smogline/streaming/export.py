@@ -13,19 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from ..sources.sinks import points
 
 
-def export_points(spark: SparkSession, source_path: str, schema, out_path: str,
-                  start=None, end=None, checkpoint: str | None = None,
+def export_points(spark: SparkSession, source_path: str, schema, out_path: str, checkpoint: str,
+                  start=None, end=None,
                   max_files_per_trigger: int | None = None):
-    """Start an availableNow stream; returns the ``StreamingQuery`` (caller waits)."""
+    """Start an availableNow stream; returns the ``StreamingQuery`` (caller waits).
+    ``checkpoint`` belongs to one source and one output. Rows that were exported before
+    (``processed_at`` set) are left out."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(source_path)
-    cond = F.col("is_valid") == F.lit(True)
+    cond = (F.col("is_valid") == F.lit(True)) & F.col("processed_at").isNull()
     if start is not None and end is not None:
         cond = cond & F.col("ts_utc").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
     pending = stream.filter(cond)
@@ -33,9 +34,8 @@ def export_points(spark: SparkSession, source_path: str, schema, out_path: str,
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         points(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
 
-    ckpt = checkpoint or scratch_path(spark, "streams/export_points")
     return (pending.writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", ckpt)
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 

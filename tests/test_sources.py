@@ -55,7 +55,7 @@ def test_newest_file(spark):
     _write_csv(f"{d}/new.csv", ROWS[2:])
     got = B.newest_file(spark, f"{d}/*.csv")
     assert got.count() == 3
-    assert got.select("_file").distinct().first()[0].endswith("new.csv")
+    assert got.select("_pos.f").distinct().first()[0].endswith("new.csv")
 
 
 def test_read_years_prunes(spark):

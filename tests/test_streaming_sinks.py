@@ -15,13 +15,16 @@ def test_export_stream_is_incremental(spark):
     q = export_points(spark, src, schemas.MEASUREMENTS_RAW, out, checkpoint=ckpt)
     q.awaitTermination(120)
     first = spark.read.parquet(out).count()
-    expected = S.points(readings.filter("pollutant_id <> 'view' and is_valid")).count()
+    # rows that the batch path exported before (processed_at set) stay out
+    pending = readings.filter("processed_at is null")
+    assert 0 < pending.count() < readings.count()
+    expected = S.points(pending.filter("pollutant_id <> 'view' and is_valid")).count()
     assert first == expected
     readings.filter("pollutant_id = 'view'").write.mode("append").parquet(src)
     q = export_points(spark, src, schemas.MEASUREMENTS_RAW, out, checkpoint=ckpt)
     q.awaitTermination(120)
     total = spark.read.parquet(out).count()
-    assert total == expected + S.points(readings.filter("pollutant_id = 'view'")).count()
+    assert total == expected + S.points(pending.filter("pollutant_id = 'view'")).count()
     # The same rows written again (a rewritten partition) are exported again;
     # reading the points back keeps one per (tags, time), the latest epoch.
     readings.filter("pollutant_id = 'click'").withColumn("value", readings["value"] + 1) \
@@ -29,7 +32,7 @@ def test_export_stream_is_incremental(spark):
     q = export_points(spark, src, schemas.MEASUREMENTS_RAW, out, checkpoint=ckpt)
     q.awaitTermination(120)
     pts = read_points(spark, out)
-    want = S.points(readings.filter("is_valid"))
+    want = S.points(pending.filter("is_valid"))
     assert pts.count() == want.count()
     clicks = {(r.station_id, str(r.time)): r.value for r in pts.filter("pollutant_id = 'click'").collect()}
     first = {(r.station_id, str(r.time)): r.value for r in want.filter("pollutant_id = 'click'").collect()}
@@ -61,3 +64,11 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         S.read_jdbc(spark, "jdbc:none://x", "SELECT 1", partition_column="measurement_sk",
                     lower=0, upper=10, partitions=0)
+
+
+def test_catalogue_with_a_missing_column_fails(spark):
+    import pytest
+    work = tempfile.mkdtemp(prefix="smogline-sink-")
+    dt.stations(spark, SF_SMALL).select("station_id").write.parquet(f"{work}/part")
+    with pytest.raises(ValueError):
+        S.read_catalogue(spark, f"{work}/part", schemas.STATIONS)

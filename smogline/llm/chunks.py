@@ -19,7 +19,7 @@ from smogline.session import pin_table, scratch_path
 
 from . import common
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes of text that one hash part answers for, roughly.
 PART_BYTES = 16 << 20
 QUESTION = "part int, chunk int, n int, body binary"
@@ -32,7 +32,7 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     rows = common.plain_rows(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     shuffle = common.shuffle_parts(spark)
-    buckets = max(shuffle, int(total // (2 * CHUNK_BYTES)) + 1)
+    buckets = max(shuffle, int(total // (4 * CHUNK_BYTES)) + 1)
     chunks = max(2 * buckets, int(total // CHUNK_BYTES) + 1)
     rows = rows.withColumn("chunk", common.hash_part(F.xxhash64("doc_id", "text"), chunks, "chunk"))
     return bucketed(rows, "chunk", buckets), max(shuffle, int(total // PART_BYTES) + 1)

@@ -11,14 +11,15 @@ the suffix array is refined only where it is undecided:
 2. First refinement. The windows of one anchor form a run of text. Runs of the same bucket are told
    apart by the bucket names (hashes) of their first and last window, that is, by
    later and earlier offsets. A run that a smaller document holds too is removed
-   whole; a bucket with a single kind of run is finished.
-3. Second refinement. In buckets that hold several kinds of runs, each kind is taken up
-   once, from its smallest document, and refined down to the single windows with
-   the same names.
+   whole. Every window of a run reaches half its rest to the left or to the right of the anchor, so a
+   kind whose longer anchors to either side no other kind of the bucket has is finished.
+3. Second refinement. Where a side is shared, each kind is taken up once, from its smallest
+   document, and the windows that lean to that side are refined to single names.
 
 Buckets are worked out by hash parts. Each chunk of documents asks about what
 it holds once, however often it occurs there, so a passage that a third of all documents
-share costs a row per chunk. All decisions rest on 64-bit names within 64-bit buckets.
+share costs a row per chunk. Runs are told apart by 64-bit names within 64-bit buckets, windows by
+64-bit names within their hash part.
 
 Defined results: a null text counts as empty; rows with a null id lose nothing and
 nothing is removed on their account; rows with the same id are not smaller than each
@@ -65,7 +66,7 @@ class Runs:
         ids = docs.column("doc_id").combine_chunks()
         self.raw, self.bounds = common.string_bytes(docs.column("text").combine_chunks())
         self.ids, known = ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
-        self.width = width
+        self.width, self.qgram, self.half = width, qgram, (width - qgram) // 2
         self.x = words_at(np.concatenate([self.raw, np.zeros(8, np.uint8)]))
         # windows start in [bounds[d], stop[d])
         stop = np.where(known, np.maximum(self.bounds[1:] - width + 1, self.bounds[:-1]), self.bounds[:-1])
@@ -100,7 +101,7 @@ class Runs:
             held = int(at[-1]) + s
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.first, self.doc = join(firsts, np.int64), join(owners, np.int64)
-        self.bucket = join(names, np.uint64)
+        self.bucket, self.anchor = join(names, np.uint64), join(anchors, np.int64)
         after = np.append(self.first[1:], 0)
         same = np.append(self.doc[1:], -1) == self.doc
         self.stop = np.where(same, after, stop[self.doc] if len(self.doc) else after)
@@ -113,6 +114,16 @@ class Runs:
         h = (h ^ (h >> np.uint64(31))) * _B + (b - a).astype(np.uint64)
         return h ^ (h >> np.uint64(29))
 
+    def sides(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """32-bit names of the anchor with half a window's rest to its left, and to its right; 0 where
+        the run has no window that reaches so far."""
+        p, reach = self.anchor[pick], self.qgram + self.half
+        out = []
+        for begin, has in ((p - self.half, self.first[pick] <= p - self.half), (p, self.stop[pick] - 1 > p - self.half)):
+            name = (name_at(self.x, np.where(has, begin, 0), reach) >> np.uint64(32)).astype("<u4") | np.uint32(1)
+            out.append(np.where(has, name, np.uint32(0)).astype("<u4"))
+        return out[0], out[1]
+
 
 def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order that sorts by the keys, start of each distinct group in that order)."""
@@ -182,7 +193,7 @@ class Refinement:
 
     def kinds(self, answers: pa.Table):
         """Runs in shared buckets: sets ``pick`` (run numbers), ``kind`` (group number of each)
-        and gives (bucket, kind name, least id) of each group."""
+        and gives (bucket, kind name, least id, names of both sides) of each group."""
         r = self.runs
         distinct, _ = self.buckets()
         shared = flags_told(answers, 0)
@@ -193,19 +204,22 @@ class Refinement:
         self.kind[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
         self.kind_id = least_ids(r.id[self.pick], order, starts)
         first = order[starts]
-        return bucket[first], name[first], self.kind_id
+        return bucket[first], name[first], self.kind_id, *r.sides(self.pick[first])
 
     def windows(self, answers: pa.Table):
         """Windows of the kinds that are still undecided, from the kind's smallest document."""
         r = self.runs
         self.kinds(answers)
         self.later = flags_told(answers, 1)
-        mixed = flags_told(answers, 2)
-        open_kind = mixed & ~self.later
+        left, right = flags_told(answers, 2), flags_told(answers, 3)
+        open_kind = (left | right) & ~self.later
         mine = np.flatnonzero(open_kind[self.kind] & (r.id[self.pick] == self.kind_id[self.kind])) if len(self.kind) else np.zeros(0, int)
-        run = self.pick[mine]
-        sizes = r.stop[run] - r.first[run]
-        self.at = np.repeat(r.first[run] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        run, kind = self.pick[mine], self.kind[mine]
+        # windows that lean left need a shared left side, the others a shared right side
+        middle = np.clip(r.anchor[run] - r.half + 1, r.first[run], r.stop[run])
+        begin, end = np.where(left[kind], r.first[run], middle), np.where(right[kind], r.stop[run], middle)
+        sizes = end - begin
+        self.at = np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
         self.at_id = np.repeat(r.id[run], sizes)
         bucket, name = np.repeat(r.bucket[run], sizes), name_at(r.x, self.at, r.width)
         order, starts = grouped(bucket, name)
@@ -225,7 +239,7 @@ class Refinement:
             np.add.at(depth, r.first[whole], 1)
             np.add.at(depth, r.stop[whole] + r.width - 1, -1)
         if len(self.window):
-            single = self.at[flags_told(answers, 3)[self.window] | (self.at_id > self.window_id[self.window])]
+            single = self.at[flags_told(answers, 4)[self.window] | (self.at_id > self.window_id[self.window])]
             np.add.at(depth, single, 1)
             np.add.at(depth, single + r.width, -1)
         return np.cumsum(depth[:-1]) > 0
@@ -255,33 +269,41 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not docs.num_rows:
             return chunks.question_rows(0, [])
         got = Refinement(docs, width, qgram)
-        bucket, name, least = got.kinds(answers)
-        return by_part(got.chunk, bucket, parts, bucket, name, least)
+        bucket, *columns = got.kinds(answers)
+        return by_part(got.chunk, bucket, parts, bucket, *columns)
 
     def reply_kinds(rows):
-        asked, ns, (bucket, name, least) = columns_of(rows, "<u8", "<u8", "<i8")
+        asked, ns, (bucket, name, least, *sides) = columns_of(rows, "<u8", "<u8", "<i8", "<u4", "<u4")
         order, starts = grouped(bucket, name)
         sizes = np.diff(np.append(starts, len(order)))
-        later = np.empty(len(bucket), bool)
-        later[order] = least[order] > np.repeat(least_ids(least, order, starts), sizes)
-        _, per_bucket, kinds = np.unique(bucket[order[starts]], return_inverse=True, return_counts=True)
-        mixed = np.empty(len(bucket), bool)
-        mixed[order] = np.repeat(kinds[per_bucket] > 1, sizes)
-        return pa.concat_tables([reply_flags(rows, 1, later, asked, ns), reply_flags(rows, 2, mixed, asked, ns)])
+        flags = [least[order] > np.repeat(least_ids(least, order, starts), sizes)]
+        kinds = order[starts]
+        for side in sides:  # shared if another kind of the same bucket has the same side
+            at, firsts = grouped(bucket[kinds], side[kinds])
+            alike = np.empty(len(kinds), np.int64)
+            alike[at] = np.repeat(np.diff(np.append(firsts, len(at))), np.diff(np.append(firsts, len(at))))
+            flags.append(np.repeat((alike > 1) & (side[kinds] != 0), sizes))
+        out = []
+        for level, flag in enumerate(flags, 1):
+            placed = np.empty(len(bucket), bool)
+            placed[order] = flag
+            out.append(reply_flags(rows, level, placed, asked, ns))
+        return pa.concat_tables(out)
 
     def ask_windows(docs, answers):
         if not docs.num_rows:
             return chunks.question_rows(0, [])
         got = Refinement(docs, width, qgram)
         bucket, name, least = got.windows(answers)
-        return by_part(got.chunk, bucket, parts, bucket, name, least)
+        # within a part, one name stands for bucket and window: a third less to move
+        return by_part(got.chunk, bucket, parts, (bucket ^ (name >> np.uint64(17))) * _A ^ name, least)
 
     def reply_windows(rows):
-        asked, ns, (bucket, name, least) = columns_of(rows, "<u8", "<u8", "<i8")
-        order, starts = grouped(bucket, name)
-        later = np.empty(len(bucket), bool)
+        asked, ns, (name, least) = columns_of(rows, "<u8", "<i8")
+        order, starts = grouped(name)
+        later = np.empty(len(name), bool)
         later[order] = least[order] > np.repeat(least_ids(least, order, starts), np.diff(np.append(starts, len(order))))
-        return reply_flags(rows, 3, later, asked, ns)
+        return reply_flags(rows, 4, later, asked, ns)
 
     def cut(docs, answers):
         if not docs.num_rows:

@@ -132,7 +132,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
     pairs = (cands.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
              .withColumn("group", F.col("cand_block") % groups))
     spread = asks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    met = pairs.join(spread, ["dim", "block", "group"])
+    # blocks grow with the tables: never broadcast, whatever their estimated size
+    met = pairs.join(spread.hint("merge"), ["dim", "block", "group"])
     met = met.repartition(common.shuffle_parts(spark), "dim", "block", "group").sortWithinPartitions("dim", "block", "group")
 
     def run(batches):

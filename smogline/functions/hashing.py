@@ -1,7 +1,9 @@
 """Deterministic pseudo-randomness from column hashes (ops C1, D8, D11).
 
 ``rand``/``randn`` depend on partitioning and task order; a hash of the row's
-key does not, so reruns and retried tasks give the same numbers.
+key does not, so reruns and retried tasks give the same numbers. The hash is the
+MD5 of the key's text, which any SQL engine can repeat: its first 13 hex digits
+make one uniform number, the next 13 a second, independent one.
 """
 
 from __future__ import annotations
@@ -11,26 +13,36 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MANTISSA = (1 << 53) - 1
+_DIGITS = 13  # 52 bits: exact in a double
+_SPAN = float(1 << 52)
+
+
+def key_hash(*cols, salt: str = "") -> Column:
+    """Hex MD5 of the columns' text (nulls left out) and the salt, joined by ``|``."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    return F.md5(F.concat_ws("|", *texts, F.lit(salt)).cast("binary"))
+
+
+def _unit(digest: Column, part: int) -> Column:
+    n = F.conv(F.substring(digest, 1 + part * _DIGITS, _DIGITS), 16, 10).cast("long")
+    return (n + F.lit(0.5)) / F.lit(_SPAN)
 
 
 def uniform01(*cols, salt: str = "") -> Column:
-    """U[0,1) from ``xxhash64(cols, salt)``; never exactly 0."""
-    h = F.xxhash64(*cols, F.lit(salt))
-    return ((F.pmod(h, F.lit(_MANTISSA + 1)) + F.lit(0.5)) / F.lit(float(_MANTISSA + 1)))
+    """U(0,1) from the key's hash; never exactly 0."""
+    return _unit(key_hash(*cols, salt=salt), 0)
 
 
 def uniform(low: float, high: float, *cols, salt: str = "") -> Column:
-    return F.lit(low) + (F.lit(high) - F.lit(low)) * uniform01(*cols, salt=salt)
+    return F.lit(low) + F.lit(high - low) * uniform01(*cols, salt=salt)
 
 
 def uniform_int(low: int, high: int, *cols, salt: str = "") -> Column:
     """Integer in [low, high)."""
-    return (F.lit(low) + F.pmod(F.xxhash64(*cols, F.lit(salt)), F.lit(high - low))).cast("int")
+    return (F.lit(low) + F.floor(uniform01(*cols, salt=salt) * F.lit(float(high - low)))).cast("int")
 
 
 def standard_normal(*cols, salt: str = "") -> Column:
-    """N(0,1) by Box-Muller on two independent hash uniforms."""
-    u1 = uniform01(*cols, salt=salt + "#1")
-    u2 = uniform01(*cols, salt=salt + "#2")
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+    """N(0,1) by Box-Muller on the two uniforms of one hash."""
+    digest = key_hash(*cols, salt=salt)
+    return F.sqrt(F.lit(-2.0) * F.log(_unit(digest, 0))) * F.cos(F.lit(2 * math.pi) * _unit(digest, 1))

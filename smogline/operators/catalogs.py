@@ -9,9 +9,9 @@ from .. import constants as K
 from .. import schemas
 from ..functions import hashing as H
 from ..functions.text import normalize_name, stable_id
-from ..sources.base_csv import POS, station_key
+from ..sources.base_csv import COMPACT_N, POS, station_key
 from .joins import lookup
-from .upsert import number_rows
+from .upsert import assign_surrogate_keys
 
 
 def pollutant_catalogue(spark: SparkSession) -> DataFrame:
@@ -26,14 +26,22 @@ def variable_codes(spark: SparkSession) -> DataFrame:
                                  "variable string, pollutant_id string, unit string")
 
 
-def zones(base: DataFrame) -> DataFrame:
+def zones(base: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Distinct (department, municipality) pairs (op C1).
 
-    zone_id numbers the pairs 1..n in order of first appearance in the input
-    [decision: the reference used the surviving row index + 1, with gaps]. The
-    population and centroid are derived from a hash of the pair, so reruns agree."""
-    pairs = base.groupBy("dept", "muni").agg(F.min(POS).alias("_first"))
-    numbered = number_rows(pairs, ["_first"], key="zone_id")
+    zone_id is the number, from 1, of the input row in which the pair first appears
+    among the known variables; ids have gaps. Rows are counted over ``rows``, the
+    whole input before any filter (by default ``base`` itself, which then must not be
+    collapsed). The population and centroid are derived from a hash of the pair, so
+    reruns agree."""
+    if rows is None:
+        if COMPACT_N in base.columns:
+            raise ValueError("collapsed rows have no row numbers: give the input rows")
+        rows = base
+    firsts = base.groupBy("dept", "muni").agg(F.min(POS).alias("_first"))
+    positions = assign_surrogate_keys(rows.select(F.col(POS).alias("_first")), ["_first"], key="zone_id")
+    numbered = lookup(positions, firsts, "_first", how="inner") \
+        .groupBy("dept", "muni").agg(F.min("zone_id").alias("zone_id"))
     dept, muni = normalize_name("dept"), normalize_name("muni")
     zid = F.col("zone_id").cast("int")
     return numbered.select(

@@ -99,7 +99,8 @@ def trends(yearly: DataFrame) -> DataFrame:
 def series_plan(caps: DataFrame, stations_df: DataFrame, means: DataFrame, trend_df: DataFrame,
                 win: Window_) -> DataFrame:
     """One row per capability with its mean (D4 default), trend and coverage
-    window (D5). Catalogue-size."""
+    window (D5). Catalogue-size. The mean is kept to 6 and the trend to 9 digits, so
+    that the order in which a distributed sum adds up never changes a generated day."""
     st = stations_df.select("station_id", F.regexp_replace("station_code", "^ST-", "").alias("station_key"),
                             "years_min", "years_max")
     p = caps.join(st, "station_id", "inner")
@@ -109,8 +110,8 @@ def series_plan(caps: DataFrame, stations_df: DataFrame, means: DataFrame, trend
     end_y = F.when(F.col("years_max") >= win.base_data_end, F.lit(win.end_year)) \
              .otherwise(F.least(F.lit(win.end_year), F.col("years_max")))
     p = p.select("station_id", "pollutant_id", "unit",
-                 F.coalesce("annual_mean", default).alias("annual_mean"),
-                 F.coalesce("trend", F.lit(0.0)).alias("trend"),
+                 F.round(F.coalesce("annual_mean", default), 6).alias("annual_mean"),
+                 F.round(F.coalesce("trend", F.lit(0.0)), 9).alias("trend"),
                  start_y.cast("int").alias("start_year"), end_y.cast("int").alias("end_year"))
     first_day = F.make_date(F.col("start_year"), F.lit(1), F.lit(1))
     last_day = F.when(F.col("end_year") == win.end_year, F.lit(win.end_date).cast("date")) \
@@ -137,7 +138,7 @@ def with_spikes(days: DataFrame) -> DataFrame:
     most the calendar span in days, so its window partition is bounded."""
     key = ("station_id", "pollutant_id", "d")
     series = Window.partitionBy("station_id", "pollutant_id")
-    rank = F.row_number().over(series.orderBy(F.xxhash64(*key, F.lit("spike")), F.col("d")))
+    rank = F.row_number().over(series.orderBy(H.uniform01(*key, salt="spike"), F.col("d")))
     n_days = F.datediff("last_day", "first_day") + 1
     spike = F.when(rank <= F.floor(n_days * F.lit(K.SPIKE_FRACTION)),
                    H.uniform(K.SPIKE_LOW, K.SPIKE_HIGH, *key, salt="spike_size")).otherwise(F.lit(1.0))

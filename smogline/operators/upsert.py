@@ -104,22 +104,6 @@ def touched_years(target: DataFrame, updates: DataFrame) -> DataFrame:
     return target.join(F.broadcast(years), "year", "left_semi")
 
 
-SMALL_NUMBERING_ROWS = 100_000
-
-
-def number_rows(df: DataFrame, order_cols: list[str], key: str, start: int = 0,
-                small_rows: int = SMALL_NUMBERING_ROWS) -> DataFrame:
-    """Dense numbering in ``order_cols`` order. A frame proven (by a bounded
-    count) to hold at most ``small_rows`` rows, such as a catalogue, is numbered
-    by one window in one task; anything larger takes the distributed
-    ``assign_surrogate_keys`` path."""
-    n = df.limit(small_rows + 1).count()
-    if n > small_rows:
-        return assign_surrogate_keys(df, order_cols, start, key)
-    w = Window.orderBy(*[F.col(c) for c in order_cols])
-    return df.withColumn(key, (F.lit(start) + F.row_number().over(w)).cast("bigint"))
-
-
 def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
                         update_order: list[str] | None = None,
                         keys: list[str] = NATURAL_KEY, only_touched_years: bool = False) -> DataFrame:

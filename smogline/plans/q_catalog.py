@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -29,12 +30,23 @@ def sql_title(x: str) -> str:
             f"ELSE lower(substr({s}, i, 1)) END), '')")
 
 
+def sql_unit(*cols: str, salt: str, part: int = 0) -> str:
+    """DuckDB form of the hashed uniform numbers."""
+    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return (f"((CAST('0x' || substr(md5(concat_ws('|', {texts}, '{salt}')), {1 + 13 * part}, 13) AS BIGINT)"
+            f" + 0.5e0) / {float(1 << 52)}e0)")
+
+
+def sql_uniform(low: float, high: float, *cols: str, salt: str) -> str:
+    return f"({float(low)}e0 + {float(high - low)}e0 * {sql_unit(*cols, salt=salt)})"
+
+
 _VARS = "[" + ", ".join(f"'{v}'" for v in B.VARIABLE_BY_PART) + "]"
 _CODES = ("(SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{c}', '{u}')" for n, c, u, _, _ in K.POLLUTANTS)
           + ") AS t(variable, pollutant_id, unit))")
 
 BASE_CTE = f"""
-base_t AS (
+base_all AS (
   SELECT format('{{:,}}', l.l_suppkey) AS station_raw, s.s_name AS station_name,
          'AUTH-' || CAST(s.s_nationkey AS VARCHAR) AS authority, g.r_name AS dept, g.n_name AS muni,
          {_VARS}[l.l_partkey % 7 + 1] AS variable, CAST(year(l.l_shipdate) AS DOUBLE) AS year,
@@ -45,7 +57,10 @@ base_t AS (
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
   LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey) g
     ON s.s_nationkey = g.n_nationkey
-  WHERE {_VARS}[l.l_partkey % 7 + 1] IN ({", ".join(f"'{p[0]}'" for p in K.POLLUTANTS)})),
+  ),
+base_t AS (
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY p1, p2, p3, p4) AS row_no FROM base_all)
+  WHERE variable IN ({", ".join(f"'{p[0]}'" for p in K.POLLUTANTS)})),
 codes AS {_CODES},
 zones_c AS (
   SELECT CAST(zone_id AS INTEGER) AS zone_id,
@@ -53,10 +68,12 @@ zones_c AS (
          {sql_title('muni')} AS city_name,
          'Z' || CASE WHEN zone_id < 10 THEN lpad(CAST(zone_id AS VARCHAR), 2, '0')
                      ELSE CAST(zone_id AS VARCHAR) END AS zone_code,
-         'Zona ' || {sql_title('muni')} AS zone_name
-  FROM (SELECT dept, muni, row_number() OVER (ORDER BY p1, p2, p3, p4) AS zone_id FROM (
-          SELECT *, row_number() OVER (PARTITION BY dept, muni ORDER BY p1, p2, p3, p4) AS rn FROM base_t)
-        WHERE rn = 1)),
+         'Zona ' || {sql_title('muni')} AS zone_name,
+         CAST({K.POPULATION_RANGE[0]} + floor({sql_unit('dept', 'muni', salt='population')}
+              * {float(K.POPULATION_RANGE[1] - K.POPULATION_RANGE[0])}e0) AS INTEGER) AS population,
+         round({sql_uniform(*K.CENTROID_LAT_RANGE, 'dept', 'muni', salt='lat')}, 6) AS centroid_lat,
+         round({sql_uniform(*K.CENTROID_LON_RANGE, 'dept', 'muni', salt='lon')}, 6) AS centroid_lon
+  FROM (SELECT dept, muni, min(row_no) AS zone_id FROM base_t GROUP BY 1, 2)),
 stations_c AS (
   SELECT station_id, 'ST-' || sid AS station_code, {sql_title('station_name')} AS station_name,
          CAST(coalesce(z.zone_id, 1) AS INTEGER) AS zone_id, round(lat, 6) AS lat, round(lon, 6) AS lon,
@@ -116,12 +133,12 @@ def base(spark, sf_dir, pin: bool = True):
 
 
 def zones_c(spark, sf_dir, b=None):
-    return CAT.zones(b if b is not None else base(spark, sf_dir))
+    return CAT.zones(b if b is not None else base(spark, sf_dir), B.driver_base_rows(spark, sf_dir))
 
 
 def stations_c(spark, sf_dir, b=None, zones=None):
     b = b if b is not None else base(spark, sf_dir)
-    return CAT.stations(b, zones if zones is not None else CAT.zones(b), WIN.end_year, WIN.base_data_end)
+    return CAT.stations(b, zones if zones is not None else zones_c(spark, sf_dir, b), WIN.end_year, WIN.base_data_end)
 
 
 def caps_c(spark, sf_dir, b=None, stations=None, sums=None):
@@ -149,13 +166,13 @@ def q_base_csv_roundtrip(spark, sf_dir):
     return B.typed_base(B.read_base_csv(spark, path)).select(*BASE_COLS)
 
 
-@register("zone_keys", with_base("SELECT * FROM zones_c"), [])
+@register("zone_keys", with_base("SELECT zone_id, city_code, city_name, zone_code, zone_name FROM zones_c"), [])
 def q_zone_keys(spark, sf_dir):
     """Zones without the hash-derived population and centroid."""
     return zones_c(spark, sf_dir).select("zone_id", "city_code", "city_name", "zone_code", "zone_name")
 
 
-@register("zones_catalogue")
+@register("zones_catalogue", with_base("SELECT * FROM zones_c"), [])
 def q_zones(spark, sf_dir):
     """Full zone catalogue, hash-derived population and centroid included."""
     return zones_c(spark, sf_dir)
@@ -225,6 +242,63 @@ def q_series_plan(spark, sf_dir):
 
 @register("daily_series")
 def q_daily_series(spark, sf_dir):
-    """The composed generator: capabilities x days -> measurements.
-    Hash-seeded noise and spikes: checked by properties, not by SQL."""
+    """The composed generator: capabilities x days -> measurements (D6-D14). Every
+    row's value is compared with SQL in ``daily_series_months``."""
     return SY.daily_series(_plan(spark, sf_dir), WIN)
+
+
+_KEY = ("station_id", "pollutant_id", "d")
+
+DAILY_SQL = f"""
+WITH plan AS ({SERIES_PLAN_SQL}),
+spans AS (
+  SELECT *, make_date(start_year, 1, 1) AS first_day,
+         CASE WHEN end_year = {WIN.end_year} THEN DATE '{WIN.end_date}'
+              ELSE make_date(end_year, 12, 31) END AS last_day,
+         end_year > {WIN.base_data_end} AS is_extended
+  FROM plan),
+days AS (
+  SELECT *, CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS d FROM spans),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY station_id, pollutant_id ORDER BY {sql_unit(*_KEY, salt='spike')}, d)
+              <= floor((date_diff('day', first_day, last_day) + 1) * {K.SPIKE_FRACTION}e0) AS is_spike,
+         CASE WHEN is_extended AND trend <> 0
+              THEN annual_mean * pow(1e0 + trend, date_diff('day', DATE '{WIN.base_data_end}-12-31', d)
+                                                  / {K.DAYS_PER_YEAR}e0)
+              ELSE annual_mean END AS adj
+  FROM days),
+valued AS (
+  SELECT *, (adj + {K.NOISE_SD_FRACTION}e0 * adj
+                 * (sqrt(-2e0 * ln({sql_unit(*_KEY, salt='noise')}))
+                    * cos({2 * math.pi}e0 * {sql_unit(*_KEY, salt='noise', part=1)}))
+             + {K.SEASONAL_AMPLITUDE}e0 * annual_mean * sin({2 * math.pi}e0 * dayofyear(d) / {float(K.SEASON_PERIOD)}e0)
+             + CASE WHEN pollutant_id IN ({", ".join(f"'{p}'" for p in K.WEEKLY_POLLUTANTS)})
+                    THEN CASE WHEN isodow(d) >= 6 THEN {K.WEEKEND_EFFECT}e0 ELSE {K.WEEKDAY_EFFECT}e0 END * adj
+                    ELSE 0e0 END)
+            * CASE WHEN is_spike THEN {sql_uniform(K.SPIKE_LOW, K.SPIKE_HIGH, *_KEY, salt='spike_size')}
+                   ELSE 1e0 END AS v
+  FROM drawn),
+generated AS (
+  SELECT station_id, pollutant_id, unit, d,
+         CASE WHEN pollutant_id = 'co' THEN round_even(greatest(v, 0e0), 1)
+              ELSE round_even(greatest(v, 0e0), 2) END AS value,
+         CASE WHEN year(d) <= {WIN.base_data_end} THEN '{K.SOURCE_BASE}' ELSE '{K.SOURCE_PROJECTED}' END AS source
+  FROM valued)
+SELECT station_id, pollutant_id, unit, source, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       count(*) AS n_days, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents,
+       min(value) AS min_value, max(value) AS max_value,
+       CAST(bit_xor(CAST(round(value * 100) AS BIGINT) * day(d)) AS BIGINT) AS day_digest
+FROM generated GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+@register("daily_series_months", with_base(DAILY_SQL), [])
+def q_daily_series_months(spark, sf_dir):
+    """The generated series by month (D6-D14): days, exact sum, smallest, largest, and a digest
+    that ties each value to its day, so that every generated row counts."""
+    cents = F.round(F.col("value") * 100).cast("long")
+    day = F.to_date(F.substring("ts_utc", 1, 10))
+    return (SY.daily_series(_plan(spark, sf_dir), WIN)
+            .groupBy("station_id", "pollutant_id", "unit", "source", "year", F.month(day).alias("month"))
+            .agg(F.count(F.lit(1)).alias("n_days"), F.sum(cents).alias("sum_cents"),
+                 F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+                 F.bit_xor(cents * F.dayofmonth(day)).alias("day_digest")))

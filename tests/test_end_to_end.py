@@ -25,12 +25,13 @@ def test_jobs_chain_end_to_end(spark):
     # 1. The annual CSV as files, with padded headers.
     rows = B.driver_base_rows(spark, SF_SMALL).drop(B.POS)
     rows.toDF(*[f" {c} " for c in rows.columns]).write.option("header", True).csv(f"{work}/csv")
-    typed = B.typed_base(B.read_base_csv(spark, f"{work}/csv"))
+    csv = B.read_base_csv(spark, f"{work}/csv")
+    typed = B.typed_base(csv)
     base = B.compact_rows(typed)
 
     # 2. Catalogues and the generated daily series.
     codes = CAT.variable_codes(spark)
-    zones = CAT.zones(base)
+    zones = CAT.zones(base, csv)
     stations = CAT.stations(base, zones, WIN.end_year, WIN.base_data_end)
     sums = SY.series_sums(base, codes)
     caps = CAT.capabilities(spark, base, stations, pairs=sums)

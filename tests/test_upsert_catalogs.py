@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from smogline import constants as K
@@ -182,9 +183,11 @@ def test_compact_rows_give_the_same_catalogues(spark):
     def same(a, b):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
 
-    same(CAT.zones(raw), CAT.zones(comp))
+    same(CAT.zones(raw), CAT.zones(comp, raw))
+    with pytest.raises(ValueError):
+        CAT.zones(comp)
     st_raw = CAT.stations(raw, CAT.zones(raw), 2025, 2020)
-    st_comp = CAT.stations(comp, CAT.zones(comp), 2025, 2020)
+    st_comp = CAT.stations(comp, CAT.zones(comp, raw), 2025, 2020)
     same(st_raw, st_comp)
     s5 = st_comp.filter("station_id = 5").first()
     assert (s5.station_name, s5.lat, s5.station_type) == ("Early Name", 6.1, "U")
@@ -197,6 +200,18 @@ def test_compact_rows_give_the_same_catalogues(spark):
     same(SY.trends(y), SY.trends(SY.yearly_means_from(SY.series_sums(comp, codes))))
 
 
+def test_zone_ids_count_all_input_rows(spark):
+    """Ids are row numbers of the unfiltered input: rows of unknown variables and repeats leave gaps."""
+    c = B.COLS
+    seen = [("Benzene", "d1", "m1"), ("PM10", "d1", "m1"), ("CO", "d1", "m1"), ("Benzene", "d2", "m2"), ("O3", "d2", "m2")]
+    rows = spark.createDataFrame(
+        [("1", "s", "A", d, m, v, "2020", "1", "1", "1", "U", i) for i, (v, d, m) in enumerate(seen)],
+        [c["station_id"], c["station"], c["authority"], c["dept"], c["muni"], c["pollutant"], c["year"],
+         c["value"], c["lat"], c["lon"], c["station_type"], B.POS])
+    got = CAT.zones(B.typed_base(rows), rows).collect()
+    assert {(r.city_name, r.zone_id, r.zone_code) for r in got} == {("M1", 2, "Z02"), ("M2", 5, "Z05")}
+
+
 def test_cascade_delete_zones(spark):
     zones = spark.createDataFrame([(1, "Z01"), (2, "Z02")], "zone_id int, zone_code string")
     stations = spark.createDataFrame([(10, 1), (11, 1), (20, 2)], "station_id int, zone_id int")

@@ -36,8 +36,9 @@ def _parsed_ts(df: DataFrame, ts_col: str) -> Column:
 def tag_rejects(raw: DataFrame, ts_col: str = "ts_utc") -> DataFrame:
     """Add ``reject`` (NULL when the row passes) and a parsed ``ts_utc``.
 
-    null (NaN counts as null) -> negative -> non-finite -> bad timestamp."""
-    v = F.col("value").cast("double")
+    null (NaN, and text that is no number, count as null) -> negative -> non-finite ->
+    bad timestamp."""
+    v = F.col("value").try_cast("double")
     nullish = (F.col("station_id").isNull() | F.col("pollutant_id").isNull()
                | F.col(ts_col).isNull() | v.isNull() | F.isnan(v))
     parsed = _parsed_ts(raw, ts_col)

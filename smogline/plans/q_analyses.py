@@ -9,7 +9,7 @@ from ..operators import cleaning as C
 from ..operators import stats as S
 from ..operators import timeseries as TS
 from ..sources import driver_tables as dt
-from .registry import register
+from .registry import ORACLES, QUERIES, register
 
 ORDER = ["ingest_batch", "ingest_row"]
 M_VIEWS = ["measurements"]
@@ -210,3 +210,73 @@ FROM clean_m"""), M_VIEWS)
 def q_dataset_summary(spark, sf_dir):
     df = cleaned(spark, sf_dir).withColumn("year", F.year("ts_utc"))
     return S.dataset_summary(df)
+
+
+# --- a text feed with defects (B5-B11) ------------------------------------------
+
+# What each defect of ``driver_tables.text_measurements`` means, from the numbers that place it.
+TEXT_CTE = """
+text_t AS (
+  SELECT station_id, pollutant_id, value, bad_time,
+         CASE defect WHEN 1 THEN l_shipdate - INTERVAL 2 HOUR WHEN 2 THEN l_shipdate + INTERVAL 5 HOUR
+                     WHEN 0 THEN NULL WHEN 4 THEN NULL ELSE l_shipdate END AS ts_utc,
+         CASE WHEN station_id IS NULL OR pollutant_id IS NULL OR value IS NULL OR defect = 4 THEN 'null'
+              WHEN value < 0 THEN 'negative' WHEN isinf(value) THEN 'non_finite'
+              WHEN bad_time THEN 'bad_timestamp' END AS reject,
+         ingest_batch, ingest_row
+  FROM (SELECT CASE WHEN l_partkey % 37 <> 0 THEN CAST(l_suppkey AS INTEGER) END AS station_id,
+               l_returnflag AS pollutant_id, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_orderkey % 19 AS defect,
+               l_orderkey % 19 = 0 AS bad_time,
+               CASE l_partkey % 23 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 5 THEN NULL WHEN 2 THEN -l_quantity
+                    WHEN 3 THEN CAST('inf' AS DOUBLE) WHEN 4 THEN CAST('-inf' AS DOUBLE)
+                    ELSE l_quantity END AS value,
+               l_orderkey AS ingest_batch, l_linenumber AS ingest_row FROM lineitem)),
+text_clean AS (
+  SELECT station_id, pollutant_id, ts_utc, CAST(value AS DOUBLE) AS value FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_id, pollutant_id, ts_utc
+                                 ORDER BY ingest_batch DESC, ingest_row DESC) AS rn
+    FROM text_t WHERE reject IS NULL) WHERE rn = 1)"""
+
+
+@register("clean_text_facts", f"WITH {TEXT_CTE.strip()}\nSELECT * FROM text_clean", [])
+def q_clean_text(spark, sf_dir):
+    """Text facts through every rule: numbers and times parsed, offsets applied, last row kept."""
+    return C.clean_measurements(dt.text_measurements(spark, sf_dir), ORDER, sort_by_time=True)
+
+
+@register("text_facts_report", f"""WITH {TEXT_CTE.strip()}
+SELECT count(*) AS initial_count,
+       CAST(count_if(reject = 'null') AS BIGINT) AS nulls_removed,
+       CAST(count_if(reject = 'negative') AS BIGINT) AS negative_values,
+       CAST(count_if(reject = 'non_finite') AS BIGINT) AS non_finite_values,
+       CAST(count_if(reject = 'bad_timestamp') AS BIGINT) AS invalid_timestamps,
+       CAST(count_if(reject IS NULL) - (SELECT count(*) FROM text_clean) AS BIGINT) AS duplicates_removed,
+       (SELECT count(*) FROM text_clean) AS final_count,
+       round((count(*) - (SELECT count(*) FROM text_clean)) * 100.0 / count(*), 2) AS removed_pct
+FROM text_t""", [])
+def q_text_report(spark, sf_dir):
+    return C.cleaning_report(dt.text_measurements(spark, sf_dir))
+
+
+# --- the analyses over a range that cuts months and years (B22) ------------------
+
+START, STOP = "1996-03-10 00:00:00", "1997-06-15 00:00:00"
+
+
+def _ranged(name: str, analysis) -> None:
+    def query(spark, sf_dir):
+        return analysis(cleaned(spark, sf_dir), start=START, stop=STOP)
+
+    query.__doc__ = f"``{name}`` over [{START}, {STOP})."
+    QUERIES[f"{name}_range"] = query
+    ORACLES[f"{name}_range"] = (
+        ORACLES[name]
+        .replace("NOT isinf(value)", f"NOT isinf(value) AND ts_utc >= TIMESTAMP '{START}' AND ts_utc < TIMESTAMP '{STOP}'")
+        .replace("CAST(month_start + INTERVAL 1 MONTH AS TIMESTAMP)",
+                 f"least(CAST(month_start + INTERVAL 1 MONTH AS TIMESTAMP), TIMESTAMP '{STOP}')"))
+
+
+_ranged("yearly_stats", TS.yearly_stats)
+_ranged("peaks_valleys", TS.peaks_valleys)
+_ranged("daily_derivative", TS.daily_derivative)
+_ranged("monthly_derivative", TS.monthly_derivative)

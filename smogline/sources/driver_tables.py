@@ -89,6 +89,26 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measurement rows as a text feed delivers them, with the defects that cleaning
+    has to meet: missing stations, missing, NaN, negative and infinite values, values that
+    are no number, and times that are missing, unreadable, or carry an offset."""
+    li = _read(spark, sf_dir, "lineitem")
+    number, time = F.col("l_quantity").cast("string"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
+    v, t = F.col("l_partkey") % 23, F.col("l_orderkey") % 19
+    return li.select(
+        F.when(F.col("l_partkey") % 37 != 0, F.col("l_suppkey")).cast("int").alias("station_id"),
+        F.col("l_returnflag").alias("pollutant_id"),
+        F.when(t == 0, F.lit("not a time")).when(t == 1, F.concat(time, F.lit("+02:00")))
+        .when(t == 2, F.concat(time, F.lit("-05:00"))).when(t == 3, F.concat(time, F.lit("Z")))
+        .when(t != 4, time).alias("ts_utc"),
+        F.when(v == 1, F.lit("NaN")).when(v == 2, F.concat(F.lit("-"), number)).when(v == 3, F.lit("Infinity"))
+        .when(v == 4, F.lit("-Infinity")).when(v == 5, F.lit("n/a")).when(v != 0, number).alias("value"),
+        F.col("l_orderkey").alias("ingest_batch"),
+        F.col("l_linenumber").alias("ingest_row"),
+    )
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored measurement rows (``measurements_raw`` of the store)."""
     ev = _read(spark, sf_dir, "events")

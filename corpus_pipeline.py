@@ -6,9 +6,9 @@ folder and reads it again, so a lost executor costs one stage at most.
 
 Nulls and repeats: a null text passes quality, lines and decontamination (it shows no evidence
 against itself) and counts as empty for fingerprints; rows with a null id are decided by their text where a stage
-reads the text alone, match no label, and are kept by near-duplicate removal if
-their group has no id at all (then each stays); rows repeated in full share
-their decision, and near-duplicate removal keeps one of them.
+reads the text alone, match no label, and are all kept by near-duplicate removal;
+rows repeated in full share their decision, and near-duplicate removal keeps one of
+those that have an id.
 """
 
 from __future__ import annotations

@@ -13,18 +13,25 @@ those that have an id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smogline.llm import bpe, common, decontam, lines, quality, simhash
 from smogline.session import pin_table
 
 
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have an id, and one that is not in ``gone``. Rows without
+    an id are left to the caller: a join would send them all to one task."""
+    gone = gone.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
+    named = docs.filter("doc_id IS NOT NULL")
+    return named.join(gone, named["doc_id"] == gone["_gone"], "left_anti")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     scored = quality.classify(docs, common.table(spark, sf_dir, "labels"), reject=quality.REJECT)
-    # few rows are rejected; the sites of rows with a null id can't be told apart here, so these stay
-    gone = scored.filter(~F.col("keep") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # the sites of rows with a null id can't be told apart here, so these stay
+    return without_ids(docs, scored.filter(~F.col("keep"))).union(docs.filter("doc_id IS NULL"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +46,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id."""
-    got = simhash.near_duplicates(docs).filter("component_id IS NOT NULL AND (doc_id IS NULL OR doc_id <> component_id)")
-    gone = got.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    ranked = kept.withColumn("_copy", F.when(F.col("doc_id").isNotNull(), F.row_number().over(same)).otherwise(1))
-    return ranked.filter("_copy = 1").drop("_copy")
+    kept = without_ids(docs, simhash.near_duplicates(docs).filter("doc_id <> component_id"))
+    # of several rows with one id one stays: an aggregate, so such rows are combined before they are shuffled
+    one = F.min_by(F.struct(*kept.columns), F.struct(F.xxhash64("text"), "text"))
+    kept = kept.groupBy("doc_id").agg(one.alias("row")).select(*(F.col(f"row.`{c}`") for c in docs.columns))
+    return kept.union(docs.filter("doc_id IS NULL"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

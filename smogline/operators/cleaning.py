@@ -59,12 +59,39 @@ def keep_one(df: DataFrame, keys: list[str], order_cols: list[str], last: bool =
     """One row per key: the last (or first) in ``order_cols`` order (ops B9, B21).
 
     An aggregate, not a window: ``max_by`` is combined map-side, so a key that
-    holds a third of the rows is reduced before the shuffle."""
+    holds a third of the rows is reduced before the shuffle. Whole-number order columns
+    are packed into one number; if all others have a fixed width, each is picked on its
+    own, in a hash aggregate without a sort. Otherwise structs are compared, in a sort
+    aggregate: select the columns that are needed first."""
     rest = [c for c in df.columns if c not in keys]
+    pick = F.max_by if last else F.min_by
+    packed = _packed_order(df, order_cols)
+    if packed is not None and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in rest):
+        # every aggregate sees the same rows in the same order, so all take the same row
+        return df.groupBy(*keys).agg(*[pick(F.col(c), packed).alias(c) for c in rest])
     order = F.struct(*[F.col(c) for c in order_cols])
     payload = F.struct(*[F.col(c) for c in rest])
-    pick = F.max_by(payload, order) if last else F.min_by(payload, order)
-    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return (df.groupBy(*keys).agg(pick(payload, order).alias("_row"))
+            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+
+
+_WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_FIXED_WIDTH = (T.BooleanType, *_WHOLE_BITS, T.FloatType, T.DoubleType, T.DecimalType,
+                T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _packed_order(df: DataFrame, order_cols: list[str]) -> Column | None:
+    """One number that sorts as the whole-number ``order_cols`` do, nulls first; None if they don't fit."""
+    bits = [_WHOLE_BITS.get(type(df.schema[c].dataType)) for c in order_cols]
+    if not bits or None in bits or sum(b + 1 for b in bits) > 126:
+        return None
+    out = None
+    for c, b in zip(order_cols, bits):
+        value = F.col(c).cast("decimal(20,0)") + F.lit(str(2 ** (b - 1) + 1)).cast("decimal(20,0)")
+        value = F.coalesce(value, F.lit(0)).cast("decimal(38,0)")
+        out = value if out is None else (
+            (out * F.lit(str(2 ** b + 1)).cast("decimal(20,0)")).cast("decimal(38,0)") + value).cast("decimal(38,0)")
+    return out
 
 
 def clean_measurements(raw: DataFrame, order_cols: list[str], keys: list[str] = NATURAL_KEY,
@@ -137,6 +164,18 @@ def time_range(df: DataFrame, start=None, stop=None, ts_col: str = "ts_utc") ->
         df = df.filter(F.col(ts_col) >= F.lit(start).cast("timestamp_ntz"))
     if stop is not None:
         df = df.filter(F.col(ts_col) < F.lit(stop).cast("timestamp_ntz"))
+    return year_bounds(df, start, stop)
+
+
+def year_bounds(df: DataFrame, start=None, stop=None, col: str = "year") -> DataFrame:
+    """The calendar years of ``[start, stop]`` on a store partitioned by year, so that the scan
+    skips the other partitions; a frame without the column is left as it is."""
+    if col not in df.columns:
+        return df
+    if start is not None:
+        df = df.filter(F.col(col) >= F.year(F.lit(start).cast("timestamp_ntz")))
+    if stop is not None:
+        df = df.filter(F.col(col) <= F.year(F.lit(stop).cast("timestamp_ntz")))
     return df
 
 

@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import driver_tables as dt
 from ..sources import sinks as S
 from ..sources import years as Y
-from .q_analyses import cleaned, with_clean
+from .q_analyses import cleaned, cleaned_values, with_clean
 from .q_enrich import RUN_LOADED_AT
 from .registry import register
 
@@ -130,7 +130,7 @@ def q_measurement_upsert(spark, sf_dir):
 SELECT CAST(row_number() OVER (ORDER BY station_id, pollutant_id, ts_utc) AS BIGINT) AS measurement_sk,
        station_id, pollutant_id, ts_utc, value FROM clean_m"""), ["measurements"])
 def q_surrogate_keys(spark, sf_dir):
-    df = cleaned(spark, sf_dir).select("station_id", "pollutant_id", "ts_utc", "value")
+    df = cleaned_values(spark, sf_dir)
     return U.assign_surrogate_keys(df, ["station_id", "pollutant_id", "ts_utc"], start=0)
 
 

@@ -2,6 +2,8 @@ import math
 
 from pyspark.sql import types as T
 
+from pyspark.sql import functions as F
+
 from smogline.operators import cleaning as C
 
 SCHEMA = T.StructType([
@@ -70,3 +72,17 @@ def test_fail_on_null_key(spark):
     df = spark.createDataFrame([("a",), (None,)], "pollutant_id string")
     with pytest.raises(Exception):
         C.fail_on_null_key(df).collect()
+
+
+def test_packed_order_sorts_as_the_columns_do(spark):
+    """Whole-number orders, nulls and extremes included, pick the row that comparing structs picks."""
+    low, high = -2**63, 2**63 - 1
+    orders = [(a, b) for a in (None, low, -1, 0, 7, high) for b in (None, -2**31, 0, 2**31 - 1)]
+    rows = [(k, float(n), a, b) for n, (a, b) in enumerate(orders) for k in (1, 2) if k == 1 or n % 3]
+    df = spark.createDataFrame(rows, "k int, value double, a bigint, b int")
+    wide = df.withColumn("note", F.lit("text"))
+    for last in (True, False):
+        got = C.keep_one(df, ["k"], ["a", "b"], last)
+        assert "SortAggregate" not in got._jdf.queryExecution().toString()
+        want = C.keep_one(wide, ["k"], ["a", "b"], last).drop("note")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

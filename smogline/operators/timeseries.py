@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from .cleaning import time_range
 from ..session import pin_table
-from .joins import lookup
 
 SERIES = ["station_id", "pollutant_id"]
 
@@ -73,28 +72,15 @@ def monthly_mean(df: DataFrame, start=None, stop=None) -> DataFrame:
 ROWS_PER_CHUNK = 1_000_000
 
 
-def _with_chunks(df: DataFrame, chunk: str, rows_per_chunk: int) -> DataFrame | None:
-    """Add ``_chunk``: a calendar unit (``month``, ``day``, ...) or, for
-    ``auto``, equal-width time slices sized per series so that each holds about
-    ``rows_per_chunk`` rows (width from a per-series count/min/max aggregate,
-    joined back behind the size-checked broadcast). ``auto`` returns None when
-    the largest series already holds at most ``rows_per_chunk`` rows: then a
-    whole series is a bounded window partition and needs no chunks."""
+def _with_chunks(df: DataFrame, chunk: str, rows_per_chunk: int) -> DataFrame:
+    """Add ``_chunk``: a calendar unit (``month``, ``day``, ...) or, for ``auto``, runs of
+    at most ``rows_per_chunk`` rows in (series, time) order. Rows are range-partitioned and
+    sorted once and written, so rows bound a chunk however dense a series is in time."""
     if chunk != "auto":
         return df.withColumn("_chunk", F.date_trunc(chunk, "ts_utc").cast("timestamp_ntz"))
-    stats = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"), F.min("ts_utc").alias("_t0"),
-                                    F.max("ts_utc").alias("_t1"))
-    n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk))
-    width = F.floor(cal.micros_between("_t0", "_t1") / n_chunks) + 1
-    # One row per series, written once: the size probe and the join read it
-    # instead of aggregating the fact again.
-    stats = pin_table(stats.select(*SERIES, "_n", "_t0", width.cast("long").alias("_w")), "series_chunks")
-    biggest = stats.agg(F.max("_n").alias("m")).first()["m"]
-    if biggest is None or biggest <= rows_per_chunk:
-        return None
-    j = lookup(df, stats.drop("_n"), SERIES, how="inner")
-    return j.withColumn("_chunk", F.floor(cal.micros_between("_t0", "ts_utc") / F.col("_w")).cast("long")) \
-            .drop("_t0", "_w")
+    ordered = df.repartitionByRange(*SERIES, "ts_utc").sortWithinPartitions(*SERIES, "ts_utc")
+    place = F.expr(f"monotonically_increasing_id() div {int(rows_per_chunk)}")
+    return pin_table(ordered.withColumn("_chunk", place), "series_chunks")
 
 
 def _rates(rows: DataFrame, window_keys: list[str], unit_days: float) -> DataFrame:
@@ -118,18 +104,15 @@ def daily_derivative(df: DataFrame, unit_days: float = 1.0, chunk: str = "auto",
     """(v - v_prev) / elapsed-days per series; the first point of a series has
     none; negative rates are kept (op F1).
 
-    Skew-safe: the window is partitioned by (series, time chunk), so a series
-    holding a third of all rows is spread over its chunks; ``auto`` sizes the
-    chunks from each series' row count, and skips them when every series is
-    within ``rows_per_chunk`` rows (a measured bound). Each chunk's last point
+    Skew-safe: the window is partitioned by (series, chunk), so a series
+    holding a third of all rows is spread over its chunks; ``auto`` cuts chunks of
+    at most ``rows_per_chunk`` rows, bursts included. Each chunk's last point
     (a map-side combined aggregate, one row per series and chunk) is carried
     into the next non-empty chunk as a marker row, so one window pass sees
     every predecessor; markers are dropped afterwards. No join of the fact with
     itself."""
     points = time_range(df, start, stop).select(*SERIES, "ts_utc", "value")
     base = _with_chunks(points, chunk, rows_per_chunk)
-    if base is None:
-        return _rates(points.withColumn("_marker", F.lit(False)), SERIES, unit_days)
     last = (base.groupBy(*SERIES, "_chunk")
             .agg(F.max_by(F.struct("ts_utc", "value"), F.col("ts_utc")).alias("_last")))
     nxt = F.lead("_chunk").over(Window.partitionBy(*SERIES).orderBy("_chunk"))

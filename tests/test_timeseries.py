@@ -67,3 +67,15 @@ def test_time_span_whole_days(spark):
     from smogline.operators import stats as S
     df = _series(spark, [(1, "a", "2024-01-01 12:00:00", 1.0), (1, "a", "2024-01-03 06:00:00", 2.0)])
     assert S.time_span(df).first().days == 1
+
+
+def test_chunks_are_bounded_by_rows_in_a_burst(spark):
+    """Nine tenths of a series on its last day: still no chunk above the bound."""
+    df = (spark.range(2000).select(
+        F.lit(1).alias("station_id"), F.lit("NO2").alias("pollutant_id"), F.col("id").cast("double").alias("value"),
+        F.when(F.col("id") < 200, F.timestamp_seconds(F.col("id") * 86400))
+         .otherwise(F.timestamp_seconds(200 * 86400 + F.col("id"))).cast("timestamp_ntz").alias("ts_utc")))
+    sizes = [r["count"] for r in TS._with_chunks(df, "auto", 100).groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 100
+    rates = TS.daily_derivative(df, rows_per_chunk=100)
+    assert rates.count() == 1999

@@ -115,9 +115,9 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     key: the last in ``update_order`` wins, as sequential statements would (without an
     order the largest value does).
 
-    The full outer join runs once: its result is written to the shared
-    checkpoint folder and both the kept rows and the new rows read it. With
-    ``only_touched_years`` the target (which must carry ``year``) is cut to
+    The store is joined to the updates and goes straight to the sink; new rows are the updates
+    whose key the store lacks. Only the updates and the new rows are written to the shared
+    checkpoint folder. With ``only_touched_years`` the target (which must carry ``year``) is cut to
     the years present in the updates and the result holds only those years, for
     a dynamic partition overwrite."""
     cols = ["station_id", "pollutant_id", "ts_utc", "value", "unit", "source"]
@@ -126,13 +126,10 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
         target = touched_years(target, updates)
     if "year" in target.columns:
         target = target.drop("year")
-    upd = one_update(updates.select(*cols, *(update_order or [])), keys, update_order).select(*cols)
-    upd = upd.withColumn("_u", F.lit(True))
-    t = target.withColumn("_t", F.lit(True))
-    j = t.join(upd.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols if c not in keys], "_u"),
-               on=keys, how="full_outer")
-    j = pin_table(j, "upsert_merge")
-    matched_or_old = j.filter(F.col("_t").isNotNull()).select(
+    upd = pin_table(one_update(updates.select(*cols, *(update_order or [])), keys, update_order).select(*cols), "updates")
+    changes = upd.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols if c not in keys], F.lit(True).alias("_u"))
+    j = target.join(changes, on=keys, how="left")
+    matched_or_old = j.select(
         "measurement_sk", *keys,
         *[F.when(F.col("_u").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
           for c in ("value", "unit", "source")],
@@ -140,8 +137,7 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
         F.when(F.col("_u").isNotNull(), F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.col("processed_at")).alias("processed_at"),
     )
-    new = j.filter(F.col("_t").isNull()).select(
-        *keys, *[F.col(f"_new_{c}").alias(c) for c in ("value", "unit", "source")])
+    new = upd.join(target.select(*keys), on=keys, how="left_anti").select(*keys, "value", "unit", "source")
     new = assign_surrogate_keys(new, keys, start).select(
         "measurement_sk", *keys, "value", "unit", "source",
         F.lit(True).alias("is_valid"), _ts(now).alias("inserted_at"),

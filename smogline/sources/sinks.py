@@ -37,10 +37,13 @@ def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str |
     return r.load()
 
 
-def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite", files_per_year: int = 8) -> None:
     """One dataset partitioned by year (snappy by default) (op A9). With
-    dynamic partition overwrite only the years present in ``df`` are replaced."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    dynamic partition overwrite only the years present in ``df`` are replaced.
+    Rows are dealt by year and a hash of the natural key first, so a year has at most
+    ``files_per_year`` files, whatever the number of tasks, and a large year is split."""
+    bucket = F.pmod(F.xxhash64("station_id", "pollutant_id", "ts_utc"), F.lit(files_per_year))
+    (df.repartition("year", bucket).write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy("year").parquet(path))
 
 

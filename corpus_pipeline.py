@@ -4,11 +4,10 @@ Every stage but the last keeps the columns of ``documents`` and works on all row
 the stage before kept. ``run`` writes each stage's result as Parquet in the shared
 folder and reads it again, so a lost executor costs one stage at most.
 
-Nulls and repeats: a null text passes quality, lines and decontamination (it shows no evidence
-against itself) and counts as empty for fingerprints; rows with a null id are decided by their text where a stage
-reads the text alone, match no label, and are all kept by near-duplicate removal;
-rows repeated in full share their decision, and near-duplicate removal keeps one of
-those that have an id.
+Nulls and repeats: a null text counts as empty for quality and fingerprints and passes lines and
+decontamination; rows with a null id match no label and are decided like any other, and in a group of near
+duplicates they come after those with an id; rows repeated in full share their decision, and
+near-duplicate removal keeps one of them.
 """
 
 from __future__ import annotations
@@ -29,9 +28,11 @@ def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    scored = quality.classify(docs, common.table(spark, sf_dir, "labels"), reject=quality.REJECT)
-    # the sites of rows with a null id can't be told apart here, so these stay
-    return without_ids(docs, scored.filter(~F.col("keep"))).union(docs.filter("doc_id IS NULL"))
+    # what a decision depends on, so that rows of one place share theirs
+    place = common.row_place("doc_id", "text", "source", "lang")
+    scored = quality.classify(docs, common.table(spark, sf_dir, "labels"), reject=quality.REJECT, row=place)
+    gone = scored.filter(~F.col("keep")).select(F.col("row").alias("_gone")).distinct()
+    return docs.join(gone, place == F.col("_gone"), "left_anti")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +45,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         else F.col(f"doc.{c}").alias(c) for c in docs.columns))
 
 
+def one_of_each(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """A row of ``docs`` for each of ``places`` that it has. Rows of one place are reduced first, by an
+    aggregate, so such rows are combined before they are shuffled."""
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("row")
+    rows = docs.groupBy(common.row_place("doc_id", "text").alias("place")).agg(one)
+    return rows.join(places, "place", "left_semi").select(*(F.col(f"row.`{c}`") for c in docs.columns))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id."""
     kept = without_ids(docs, simhash.near_duplicates(docs).filter("doc_id <> component_id"))
     # of several rows with one id one stays: an aggregate, so such rows are combined before they are shuffled
     one = F.min_by(F.struct(*kept.columns), F.struct(F.xxhash64("text"), "text"))
     kept = kept.groupBy("doc_id").agg(one.alias("row")).select(*(F.col(f"row.`{c}`") for c in docs.columns))
-    return kept.union(docs.filter("doc_id IS NULL"))
+    return kept.union(one_of_each(docs.filter("doc_id IS NULL"), simhash.representatives(docs)))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,15 @@ def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def row_place(id_col: str, *others: str) -> Column:
+    """A row's place by id (null last) and then by a hash of id and ``others``, as one number: rows that
+    agree in all of these have the same place, and rows with a null id have places of their own."""
+    by_id = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    low = F.xxhash64(F.col(id_col).cast("long"), *(F.col(c).cast("string") for c in others)).bitwiseAND(F.lit(2**62 - 1))
+    # 64 bits of id and 62 of the hash: below 10^38
+    return ((by_id * F.lit(2**62).cast("decimal(19,0)")).cast("decimal(38,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def hash_part(col: Column, parts: int, seed: str = "part") -> Column:
     """0 .. parts - 1 from a value's hash; independent of the hash that a shuffle uses."""
     return F.pmod(F.xxhash64(F.lit(seed), col), F.lit(parts)).cast("int")

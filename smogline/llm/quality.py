@@ -165,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, words: int
 
 
 def evidence(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, host, path, a probability for each target) from the text alone."""
+    """(all columns of ``docs`` but the text, a probability for each target) from the text alone."""
+    names = [c for c in docs.columns if c != "text"]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * WORDS words and their weights
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -176,10 +177,10 @@ def evidence(docs: DataFrame, model: dict) -> DataFrame:
             w = model[t]
             p = np.full(len(x), model[f"{t}_rate"]) if w is None else 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             out.append(pa.array(np.clip(p, 1e-6, 1 - 1e-6)))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *out],
-                                          names=["doc_id", "host", "path", *TARGETS])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *out], names=[*names, *TARGETS])
 
-    return common.map_text(docs, run, "doc_id long, host string, path string, " + ", ".join(f"{t} double" for t in TARGETS))
+    kinds = dict(docs.dtypes)
+    return common.map_text(docs, run, ", ".join([*(f"{c} {kinds[c]}" for c in names), *(f"{t} double" for t in TARGETS)]))
 
 
 def shrink_weight(sites: DataFrame, target: str, parent: Column) -> Column:
@@ -212,12 +213,13 @@ def site_rates(scored: DataFrame) -> tuple[DataFrame, dict]:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source", path_col: str = "lang", reject: float = REJECT,
-             fit_rows: int = FIT_ROWS, words: int = WORDS) -> DataFrame:
-    """(doc_id, for each target ``text_*`` the text's probability, ``site_*`` the site's rate and ``post_*`` the
+             fit_rows: int = FIT_ROWS, words: int = WORDS, row: Column | None = None) -> DataFrame:
+    """(doc_id, ``row`` if given, for each target ``text_*`` the text's probability, ``site_*`` the site's rate and ``post_*`` the
     posterior, keep boolean), a row for each row of ``docs``."""
     rows = common.plain_rows(docs, id_col, text_col)
     wide = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                       F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"))
+                       F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"),
+                       *([] if row is None else [row.alias("row")]))
     marks = labels.select("doc_id", "quality", "toxic")
     scored = pin_table(evidence(wide, fit(rows, marks, fit_rows, words)), "evidence")
     sites, rates = site_rates(scored)
@@ -236,7 +238,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         post = 1 / (1 + F.exp(-logit))
         out += [own.alias(f"text_{t}"), site.alias(f"site_{t}"), post.alias(f"post_{t}")]
         keep = keep & (post < reject)
-    return got.select("doc_id", *out, keep.alias("keep"))
+    return got.select("doc_id", *([] if row is None else ["row"]), *out, keep.alias("keep"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,6 +181,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, bits: int = 3) -> DataFrame:
+    """(place): for each group of ``near_duplicates``, those without an id included, the first
+    ``common.row_place`` of its rows by id and text."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["place", "fp"])
+
+    rows = docs.select(common.row_place(id_col, text_col).alias("place"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    fps = common.map_text(rows, run, "place decimal(38,0), fp long")
+    nodes = pin_table(fps.groupBy("fp").agg(F.min("place").alias("place")), "nodes")
+    roots = components(linked(nodes.select("fp"), bits), "a", "b")
+    part = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return part.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("place").alias("place")).select("place")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, up to 3 bits."""
     got = near_duplicates(common.table(spark, sf_dir, "documents"))

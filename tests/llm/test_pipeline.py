@@ -1,6 +1,7 @@
 """Each stage against a brute-force version on what the stage before kept."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -8,7 +9,7 @@ from smogline.llm import quality
 from tests.llm import test_decontam, test_lines, test_simhash
 from tests.llm.helpers import AWKWARD, frame
 
-TABLE = "/root/testdata/sf0.001"
+TABLE, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def pairs(df):
@@ -57,3 +58,18 @@ def test_stages_take_awkward_rows_and_none(spark):
             if name in ("quality", "decontamination", "tokens"):
                 assert len(got) == len(rows), name
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
+
+
+def test_rows_without_id_are_filtered_like_others(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    third = docs.withColumn("doc_id", F.expr("if(doc_id % 3 = 0, null, doc_id)"))
+    reject = {r.row for r in quality.classify(third, labels, row=F.xxhash64("doc_id", "text")).collect() if not r.keep}
+    keyed = third.withColumn("key", F.xxhash64("doc_id", "text"))
+    kept = P.quality_stage(spark, keyed, LARGER).collect()
+    assert sum(r.doc_id is None and r.key in reject for r in keyed.collect()) > 0
+    assert sorted(r.key for r in kept) == sorted(r.key for r in keyed.collect() if r.key not in reject)
+    words = "many words that stand in one text and its copies " * 3
+    rows = [(None, words), (None, words), (None, words.upper()), (None, "a text of its own"), (4, "some other text"), (None, "some other text")]
+    got = P.near_duplicate_stage(spark, frame(spark, rows), TABLE)
+    assert sorted((str(i), t.lower()) for i, t in pairs(got)) == [("4", "some other text"), ("None", "a text of its own"), ("None", words)]

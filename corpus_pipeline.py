@@ -7,7 +7,8 @@ folder and reads it again, so a lost executor costs one stage at most.
 Nulls and repeats: a null text counts as empty for quality and fingerprints and passes lines and
 decontamination; rows with a null id match no label and are decided like any other, and in a group of near
 duplicates they come after those with an id; rows repeated in full share their decision, and
-near-duplicate removal keeps one of them.
+near-duplicate removal keeps one of them; rows with one id and different texts are documents of their own, in
+every stage.
 """
 
 from __future__ import annotations
@@ -18,14 +19,6 @@ from smogline.llm import bpe, common, decontam, lines, quality, simhash
 from smogline.session import pin_table
 
 
-def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that have an id, and one that is not in ``gone``. Rows without
-    an id are left to the caller: a join would send them all to one task."""
-    gone = gone.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    named = docs.filter("doc_id IS NOT NULL")
-    return named.join(gone, named["doc_id"] == gone["_gone"], "left_anti")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     # what a decision depends on, so that rows of one place share theirs
@@ -55,12 +48,9 @@ def one_of_each(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id."""
-    kept = without_ids(docs, simhash.near_duplicates(docs).filter("doc_id <> component_id"))
-    # of several rows with one id one stays: an aggregate, so such rows are combined before they are shuffled
-    one = F.min_by(F.struct(*kept.columns), F.struct(F.xxhash64("text"), "text"))
-    kept = kept.groupBy("doc_id").agg(one.alias("row")).select(*(F.col(f"row.`{c}`") for c in docs.columns))
-    return kept.union(one_of_each(docs.filter("doc_id IS NULL"), simhash.representatives(docs)))
+    """One document of each SimHash group: the one with the smallest id, and of several with that id the
+    one with the smallest hash. Rows that share an id but are in no group together all stay."""
+    return one_of_each(docs, simhash.representatives(docs))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

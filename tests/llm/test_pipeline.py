@@ -73,3 +73,17 @@ def test_rows_without_id_are_filtered_like_others(spark):
     rows = [(None, words), (None, words), (None, words.upper()), (None, "a text of its own"), (4, "some other text"), (None, "some other text")]
     got = P.near_duplicate_stage(spark, frame(spark, rows), TABLE)
     assert sorted((str(i), t.lower()) for i, t in pairs(got)) == [("4", "some other text"), ("None", "a text of its own"), ("None", words)]
+
+
+def test_rows_that_share_an_id_are_decided_each(spark):
+    words = "many words that stand in one text and its copies " * 3
+    rows = [(1, words), (1, "another text under the same id"), (1, "a third one, unlike both"), (2, words), (2, "and one more, alone"),
+            (3, "twice in full"), (3, "twice in full")]
+    got = P.near_duplicate_stage(spark, frame(spark, rows), TABLE)
+    assert sorted(pairs(got)) == sorted([rows[0], rows[1], rows[2], rows[4], rows[5]])
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").withColumn("doc_id", F.expr("if(doc_id % 3 = 0, 0, doc_id)"))
+    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    scored = quality.classify(docs, spark.read.parquet(f"{LARGER}/labels.parquet"), row=F.xxhash64("doc_id", "text"))
+    keep = sorted(r.row for r in scored.collect() if r.keep)
+    assert 0 < len(keep) < docs.count()
+    assert sorted(r.key for r in P.quality_stage(spark, docs, LARGER).collect()) == keep

@@ -34,7 +34,8 @@ from smogline.session import pin_table
 
 from . import chunks, common
 
-DEPTH = 4
+#: As many bytes of context as fit a packed number beside the byte itself.
+DEPTH = 6
 END = b"\n"  # no word holds white space
 ASKED = "part int, chunk int, n_words int, n_grams int, body binary"
 TOLD = "chunk int, part int, n_words int, n_grams int, body binary"

@@ -82,6 +82,13 @@ def test_nothing_to_learn_from(spark):
     check(spark, rows, 4, frame(spark, rows))
 
 
+def test_default_depth_sees_six_bytes(spark):
+    rows = [(i, ("a12345x" if i % 2 else "b12345y") * 6) for i in range(30)]
+    got = sorted((r.doc_id, round(r.score, 3)) for r in ctw.score(frame(spark, rows)).collect())
+    assert got == sorted((w[0], round(w[6], 3)) for w in plain(rows, 6))
+    assert got != sorted((w[0], round(w[6], 3)) for w in plain(rows, 4))
+
+
 def test_lookup_and_log_gamma():
     keys = np.random.default_rng(0).integers(0, 1 << 40, 5000, dtype=np.uint64)
     keys = np.unique(keys)

@@ -1,7 +1,8 @@
 """Operator 8: secret scans with a random forest that removes false positives.
 
 Candidates are whole tokens of at least 16 characters of the base64 and hexadecimal
-alphabets. Each gets features: its length; how its characters follow one another (mean
+alphabets, and, of any length and alphabet, the values assigned to a credential's name and the passwords in
+URLs (a token inside a longer value is a candidate beside it). Each gets features: its length; whether it is such a value; how its characters follow one another (mean
 log-probability under the character transitions of all documents, classes of characters and their
 changes); how much of it dictionary words cover (the most frequent short words of all documents); its
 path (the share of secrets among the labelled findings of its source); and its neighbours (the
@@ -10,7 +11,7 @@ share of secrets among the labelled findings beside the same word). A random for
 scores every candidate; those below ``keep`` are false positives.
 
 ``weak_labels`` labels findings by formats: a provider's key format or an assignment
-to a credential's name is a secret; a token without digits is none. Anything else has no
+to a credential's name is a secret; a token without digits that is no such value is none. Anything else has no
 label and is left to the forest. Other labelled findings can be given instead.
 
 Defined results: null and empty texts hold no candidate; a row with a null id is scanned and its
@@ -21,6 +22,7 @@ is null and every candidate is kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -35,6 +37,13 @@ from smogline.session import pin_table
 from . import common
 
 CANDIDATE = re.compile(r"(?<![\w+/-])[A-Za-z0-9+/_-]{16,}={0,2}(?!\w)")
+#: A credential's name with its assignment, the value that follows (quoted, or up to a space or what ends a
+#: list entry), and the password in a URL.
+ASSIGNMENT = re.compile(r"""(?:(?<![^\W\d_])(?i:password|passwd|pwd|passphrase|credentials?|secret|token|apikey|key)"""
+                        r"""|(?<=[a-z])(?:Password|Passwd|Secret|Token|Key))\\?["'`]?\s*(?:=>|:=|==?|:(?!//))[^\S\n]*""")
+VALUE = re.compile(r"""\\?(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`"""
+                   r"""|["'`]?((?:(?![;,&](?:\s|$|[\w.-]{1,40}=)|[.,;)\]}'`\\]+(?:\s|$))[^\s"])+))""")
+URL_PASSWORD = re.compile(r"://[^\s:/@]*:([^\s/]+)@")
 NEIGHBOUR = re.compile(r"[^\W\d_]{2,}")
 #: Labelled findings that the forest is trained on at most, and dictionary words.
 FIT_ROWS, DICTIONARY = 20_000, 5_000
@@ -42,7 +51,7 @@ TREES, DEPTH, KEEP, SEED = 20, 8, 0.5, 8
 #: Fixed formats: a cloud provider's access key, and names that credentials are assigned to.
 KEY_FORMAT = r"^AKIA[0-9A-Z]{16}$"
 CREDENTIAL_NAMES = ("password", "passwd", "secret", "token", "apikey", "key")
-FOUND = "doc_id long, path string, start int, candidate string, before string, after string, shape array<double>"
+FOUND = "doc_id long, path string, start int, candidate string, before string, after string, assigned boolean, shape array<double>"
 
 
 def corpus_tables(docs: DataFrame, words: int) -> tuple[np.ndarray, set[str]]:
@@ -89,14 +98,27 @@ def covered(text: str, dictionary: set[str]) -> float:
 
 
 def shape(token: str, log_p: np.ndarray, dictionary: set[str]) -> list[float]:
-    codes = np.frombuffer(token.encode("ascii"), np.uint8)
+    codes = np.frombuffer(token.encode("utf-32-le"), np.uint32)
     kinds = np.select([(codes >= 48) & (codes < 58), (codes >= 65) & (codes < 91), (codes >= 97) & (codes < 123)], [0, 1, 2], 3)
-    n, counts = len(codes), np.bincount(codes)
-    p = counts[counts > 0] / n
-    return [float(n), float(log_p[codes[:-1], codes[1:]].mean()), float((kinds[1:] != kinds[:-1]).mean()),
+    n = len(codes)
+    p = np.unique(codes, return_counts=True)[1] / n
+    known = (codes[:-1] < 128) & (codes[1:] < 128)
+    steps = log_p[codes[:-1][known], codes[1:][known]]
+    return [float(n), float(steps.mean()) if len(steps) else -math.log(128), float((kinds[1:] != kinds[:-1]).mean()) if n > 1 else 0.0,
             *(float((kinds == k).mean()) for k in range(4)), float(-(p * np.log2(p)).sum()), covered(token, dictionary)]
 
 
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether it is an assigned value or a URL's password) of every candidate in order."""
+    found = {m.span(): False for m in CANDIDATE.finditer(text)}
+    for m in ASSIGNMENT.finditer(text):
+        v = VALUE.match(text, m.end())
+        if v:
+            found[v.span(v.lastindex)] = True
+    found |= {m.span(1): True for m in URL_PASSWORD.finditer(text)}
+    return [(*at, found[at]) for at in sorted(found)]
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str, words: int = DICTIONARY) -> DataFrame:
     """FOUND: every candidate of every row, its neighbours and the features of its shape."""
     rows = common.plain_rows(docs, id_col, text_col)
@@ -109,13 +131,14 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str, words
         log_p, dictionary = sent.value
         out = []
         for doc, text, path in zip(*(c.to_pylist() for c in batch.columns)):
-            for m in CANDIDATE.finditer(text):
-                before = NEIGHBOUR.findall(text[max(0, m.start() - 40):m.start()])
-                after = NEIGHBOUR.search(text[m.end():m.end() + 40])
-                out.append((doc, path, m.start(), m.group(), before[-1].lower() if before else "",
-                            after.group().lower() if after else "", shape(m.group(), log_p, dictionary)))
-        cols = list(zip(*out)) if out else [[]] * 7
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.list_(pa.float64())]
+            for start, end, assigned in spans(text):
+                before = NEIGHBOUR.findall(text[max(0, start - 40):start])
+                after = NEIGHBOUR.search(text[end:end + 40])
+                out.append((doc, path, start, text[start:end], before[-1].lower() if before else "",
+                            after.group().lower() if after else "", assigned,
+                            [*shape(text[start:end], log_p, dictionary), float(assigned)]))
+        cols = list(zip(*out)) if out else [[]] * 8
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.float64())]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)],
                                           names=[f.split()[0] for f in FOUND.split(", ")])
 
@@ -125,7 +148,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str, words
 def weak_labels(found: DataFrame) -> Column:
     """1, 0 or null by the formats above."""
     yes = F.col("candidate").rlike(KEY_FORMAT) | (F.col("before").isin(*CREDENTIAL_NAMES) & F.col("candidate").rlike("[0-9]"))
-    return F.when(yes, 1).when(~F.col("candidate").rlike("[0-9]"), 0)
+    return F.when(yes, 1).when(~F.col("candidate").rlike("[0-9]") & ~F.col("assigned"), 0)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", findings: DataFrame | None = None,

@@ -28,6 +28,18 @@ def test_forest_tells_planted_findings(spark):
     assert sum(r.secret == made[r.doc_id][1] for r in held) >= 98
 
 
+def test_short_and_odd_credentials_are_candidates(spark):
+    texts = {"set password=abc123xyz now": "abc123xyz", 'the db_password: "p.4!@$ x", then': "p.4!@$ x", "Server=h;Password=a$b;9!;User=me;": "a$b;9!",
+             "postgres://me:s3c!r.t@host:5432/db": "s3c!r.t", '{"apiKey":"k9"}': "k9", "secret = ünï1.": "ünï1", "https://host:80/a and monkey=1": None,
+             "token: password: q7": "q7", "a key=1": "1"}
+    assert {t: [t[a:b] for a, b, _ in secrets.spans(t)][-1:] for t in texts} == {t: [c] if c else [] for t, c in texts.items()}
+    rng = random.Random(9)
+    rows = [(n, planted(n, rng)[0]) for n in range(200)]
+    rows += [(1000 + n, f"some plain words password={rng.choice('abcxyz')}{rng.randrange(100, 999)}.{rng.choice('!@$')}k stand here") for n in range(40)]
+    got = [r for r in secrets.scan(frame(spark, rows)).collect() if r.doc_id >= 1000]
+    assert len(got) == 40 and sum(r.secret for r in got) >= 38 and all(len(r.candidate) == 7 for r in got)
+
+
 def test_awkward_rows(spark):
     got = secrets.scan(frame(spark, AWKWARD + [(None, "a token Zm9vYmFyMTIzNDU2Nzg= here")]))
     rows = {(r.doc_id, r.candidate[:30]) for r in got.collect()}

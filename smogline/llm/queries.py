@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, ctw, decontam, lines, order, quality, secrets, simhash, substrings, topk
+from . import bpe, ctw, decontam, lines, order, periods, quality, secrets, simhash, substrings, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": order.op1_training_order,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.op8_secrets,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_substrings": substrings.op10_substrings,
+    "op11_periodic_runs": periods.op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {

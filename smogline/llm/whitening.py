@@ -23,6 +23,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smogline.session import pin_table
@@ -65,23 +67,32 @@ def packed(rows: DataFrame, dim: int) -> DataFrame:
     return pin_table(rows.filter(F.size("x") == dim).mapInArrow(pack, "ids array<long>, body binary"), "blocks")
 
 
-def summed(blocks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], dim: int, size: int, kind: str = "double") -> list:
-    """``fn`` of each block (an array of ``size`` numbers), added up over all blocks: in a task first, then by Spark."""
-    zero = np.float64 if kind == "double" else np.int64
+def in_tasks(blocks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], dim: int, size: int, kind: type) -> DataFrame:
+    """(y array): ``fn`` of each block (an array of ``size`` numbers), added up within each task."""
+    name = "double" if kind is np.float64 else "long"
 
     def run(batches):
-        total = np.zeros(size, zero)
+        total = np.zeros(size, kind)
         for batch in batches:
             for body in batch.column(0):
                 total = total + fn(np.frombuffer(body.as_buffer(), np.int64).reshape(-1, dim))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.from_numpy_dtype(zero)))], names=["y"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.from_numpy_dtype(kind)))], names=["y"])
 
-    parts = blocks.select("body").mapInArrow(run, f"y array<{kind}>")
-    if size > 1024:  # too wide for a column each
-        got = parts.select(F.posexplode("y")).groupBy("pos").agg(F.sum("col").alias("s")).orderBy("pos").collect()
-        return [r.s for r in got]
-    wide = "decimal(38,0)" if kind == "long" else kind
-    return list(parts.agg(*(F.sum(F.get("y", F.lit(i)).cast(wide)) for i in range(size))).first())
+    return blocks.select("body").mapInArrow(run, f"y array<{name}>")
+
+
+def summed(blocks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], dim: int, size: int) -> np.ndarray:
+    """``fn`` of each block, added up over all blocks: in each task, then by one vector aggregate."""
+    parts = in_tasks(blocks, fn, dim, size, np.float64)
+    got = parts.select(Summarizer.sum(array_to_vector("y")).alias("s")).first()
+    return got.s.toArray()
+
+
+def exact_sums(blocks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], dim: int, size: int) -> list[int]:
+    """The same for whole numbers, exactly."""
+    parts = in_tasks(blocks, fn, dim, size, np.int64).select(F.posexplode("y"))
+    got = parts.groupBy("pos").agg(F.sum(F.col("col").cast("decimal(38,0)")).alias("s")).collect()
+    return [int(r.s) for r in sorted(got)]
 
 
 class Rows:
@@ -92,7 +103,7 @@ class Rows:
 
         def sums(x):  # halves, as a sum of whole numbers may pass a long
             return np.concatenate([[len(x)], (x >> 32).sum(axis=0), (x & 0xFFFFFFFF).sum(axis=0)])
-        got = [int(v or 0) for v in summed(blocks, sums, dim, 1 + 2 * dim, "long")]
+        got = exact_sums(blocks, sums, dim, 1 + 2 * dim)
         self.n = got[0]
         self.sums = [(h << 32) + low for h, low in zip(got[1:1 + dim], got[1 + dim:])]
         top = blocks.select("body").mapInArrow(_largest, "m long").agg(F.max("m")).first()[0] or 0
@@ -120,7 +131,7 @@ class Rows:
             a = centred(x) / root
             left = a @ q
             return np.append(left @ a, left @ left)
-        return np.array(summed(self.blocks, product, self.dim, self.dim + 1))
+        return summed(self.blocks, product, self.dim, self.dim + 1)
 
     def trace(self) -> float:
         _, centred = self.tools()
@@ -214,7 +225,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
         w = centred(x) @ stretch
         return np.concatenate([(w.T @ w).ravel(), w.sum(axis=0)])
 
-    got = np.array(summed(table.blocks, moments, dim, k * k + k))
+    got = summed(table.blocks, moments, dim, k * k + k)
     mean = got[k * k:] / n
     error = float(np.abs(got[:k * k].reshape(k, k) / n - np.outer(mean, mean) - np.eye(k)).max(initial=0))
     explained = values / trace

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, ctw, decontam, lines, order, periods, quality, secrets, simhash, substrings, topk, whitening
+from . import bpe, ctw, decontam, forest, lines, order, periods, quality, secrets, simhash, substrings, topk, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": order.op1_training_order,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_substrings": substrings.op10_substrings,
     "op11_periodic_runs": periods.op11_periodic_runs,
+    "op12_embedding_near_dedup": forest.op12_embedding_near_dedup,
     "op13_whitening": whitening.op13_whitening,
 }
 

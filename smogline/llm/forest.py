@@ -293,8 +293,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     roots = components(found.select("u", "v"), "u", "v").withColumnRenamed("node", "u")
     part = nodes.select("u", "w", "least").join(roots, "u", "left").withColumn("root", F.coalesce("root", "u"))
     ids = part.groupBy("root").agg(F.min("least").alias("component_id"))
-    each = (part.join(ids, "root").join(counts, "u", "left")
-            .select("u", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"))
+    # written, so that the join with all rows has nothing before its exchanges and a vector of many rows can be split
+    each = pin_table(part.join(ids, "root").join(counts, "u", "left")
+                     .select("u", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id"), "each")
     alone = rows.filter(~F.col("fine")).select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                                 F.col("vec_id").alias("component_id"))
     linked = rows.filter("fine").select("vec_id", "u").join(each, "u").select("vec_id", "n_links", "component_id")

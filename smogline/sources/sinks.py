@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from . import versions
 from .base_csv import check_columns, require_rows
 
+#: Rows that a file of a year holds, about.
+ROWS_PER_FILE = 5_000_000
+
 
 def read_catalogue(spark: SparkSession, path: str, schema, required=None) -> DataFrame:
     """A catalogue in Parquet with a declared schema; error when empty or when a
     required column is missing (ops A3, B12). The files' own schema is checked:
     reading by the declared one would fill what is missing with NULLs."""
+    path = versions.live_path(spark, path)
     check_columns(spark.read.parquet(path), required or [f.name for f in schema.fields])
     return require_rows(spark.read.schema(schema).parquet(path), path)
 
@@ -37,19 +42,43 @@ def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str |
     return r.load()
 
 
-def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite", files_per_year: int = 8) -> None:
+def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE,
+                        rows_by_year: dict[int, int] | None = None) -> None:
     """One dataset partitioned by year (snappy by default) (op A9). With
     dynamic partition overwrite only the years present in ``df`` are replaced.
-    Rows are dealt by year and a hash of the natural key first, so a year has at most
-    ``files_per_year`` files, whatever the number of tasks, and a large year is split."""
-    bucket = F.pmod(F.xxhash64("station_id", "pollutant_id", "ts_utc"), F.lit(files_per_year))
-    (df.repartition("year", bucket).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+
+    A histogram of rows by year (counted here unless the caller has it) sets the number of files of each
+    year, and each file is one task's: a small year is one file, and one that holds most rows is written by as many
+    tasks as it needs. Rows go to a year's files by a hash of the natural key, so files hold about
+    ``rows_per_file`` rows, and never more than twice as many."""
+    if rows_by_year is None:  # a row for each year: bounded by the calendar
+        rows_by_year = {r["year"]: r["count"] for r in df.groupBy("year").count().collect()}
+    files = {y: max(1, -(-n // rows_per_file)) for y, n in rows_by_year.items()}
+    if not files:
+        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+        return
+    first = F.lit(None).cast("int")
+    count, at = F.lit(None).cast("int"), 0
+    for y, n in sorted(files.items(), key=lambda x: (x[0] is None, x[0])):
+        here = F.col("year").eqNullSafe(F.lit(y))
+        first, count = F.when(here, F.lit(at)).otherwise(first), F.when(here, F.lit(n)).otherwise(count)
+        at += n
+    place = first + F.pmod(F.xxhash64("station_id", "pollutant_id", "ts_utc"), count).cast("int")
+    # a year that the histogram lacks (rows may arrive while it is counted) goes to the first task
+    (df.repartitionById(at, F.coalesce(place, F.lit(0))).write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
        .partitionBy("year").parquet(path))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Truncate-and-load / staging overwrite (ops A10, A11): a whole replace."""
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str) -> dict:
+    """Truncate-and-load / staging overwrite (ops A10, A11): a whole replace, as a new version. Readers
+    (``read_table``) see the old rows until all new ones are written, and keep them if the run fails."""
+    return versions.publish(df, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The live rows of a table written by ``write_table``, or of a plain Parquet folder."""
+    return versions.read_live(spark, path)
 
 
 def points(df: DataFrame, measurement: str = "air_quality") -> DataFrame:

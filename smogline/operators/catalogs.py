@@ -9,9 +9,10 @@ from .. import constants as K
 from .. import schemas
 from ..functions import hashing as H
 from ..functions.text import normalize_name, stable_id
+from ..session import pin_table
 from ..sources.base_csv import COMPACT_N, POS, station_key
 from .joins import lookup
-from .upsert import assign_surrogate_keys
+from .positions import row_numbers
 
 
 def pollutant_catalogue(spark: SparkSession) -> DataFrame:
@@ -38,10 +39,8 @@ def zones(base: DataFrame, rows: DataFrame | None = None) -> DataFrame:
         if COMPACT_N in base.columns:
             raise ValueError("collapsed rows have no row numbers: give the input rows")
         rows = base
-    firsts = base.groupBy("dept", "muni").agg(F.min(POS).alias("_first"))
-    positions = assign_surrogate_keys(rows.select(F.col(POS).alias("_first")), ["_first"], key="zone_id")
-    numbered = lookup(positions, firsts, "_first", how="inner") \
-        .groupBy("dept", "muni").agg(F.min("zone_id").alias("zone_id"))
+    firsts = pin_table(base.groupBy("dept", "muni").agg(F.min(POS).alias(POS)), "firsts")
+    numbered = firsts.join(row_numbers(rows, firsts, POS), POS).withColumnRenamed("row_number", "zone_id")
     dept, muni = normalize_name("dept"), normalize_name("muni")
     zid = F.col("zone_id").cast("int")
     return numbered.select(

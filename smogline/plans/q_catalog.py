@@ -133,7 +133,8 @@ def base(spark, sf_dir, pin: bool = True):
 
 
 def zones_c(spark, sf_dir, b=None):
-    return CAT.zones(b if b is not None else base(spark, sf_dir), B.driver_base_rows(spark, sf_dir))
+    # alone, zones need two columns and the positions of the rows, which are aggregated as they are read
+    return CAT.zones(b if b is not None else base(spark, sf_dir, pin=False), B.driver_positions(spark, sf_dir))
 
 
 def stations_c(spark, sf_dir, b=None, zones=None):

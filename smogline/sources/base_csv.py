@@ -7,12 +7,15 @@ region) so the catalogue and generator plans run on the given data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.numeric import number_from_text
 from ..operators.joins import lookup
+from ..operators.positions import SPLIT
 from .driver_tables import _read
 
 COLS = K.CSV_COLUMNS
@@ -29,12 +32,15 @@ def check_columns(df: DataFrame, required) -> DataFrame:
 
 def read_base_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header, every column as text, trimmed header names, ingest
-    position attached right after the scan (op A1). Emptiness is checked by the
+    position attached right after the scan (op A1): the file, the first byte of the split, and the
+    row's place after it. Splits are ordered by where they lie in the file, however tasks
+    pack them, so order by position is the order of the rows in the files. Emptiness is checked by the
     caller's plan (``require_rows``), not by a count here."""
     raw = spark.read.option("header", True).option("encoding", "UTF-8").option("inferSchema", False).csv(path)
     df = raw.toDF(*[c.strip() for c in raw.columns])
     check_columns(df, COLS.values())
     return df.withColumn(POS, F.struct(F.col("_metadata.file_path").alias("f"),
+                                       F.col("_metadata.file_block_start").alias(SPLIT),
                                        F.monotonically_increasing_id().alias("i")))
 
 
@@ -63,9 +69,38 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
 VARIABLE_BY_PART = ["PM2.5", "PM10", "O3", "NO2", "SO2", "CO", "Benzene"]
 
 
+POSITION_KEYS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
+
+
+def driver_position(lineitem: DataFrame) -> Column:
+    """The keys that order the rows as one number, so that a first position is found by a hash aggregate: each key
+    less its least value, in as many values as there are between its least and its largest (a row of
+    scalars to the driver). A struct of the keys if that would pass 38 digits or a key is null."""
+    ends = lineitem.agg(F.count(F.lit(1)), *(f(k) for k in POSITION_KEYS for f in (F.count, F.min, F.max))).first()
+    n, of_key = ends[0], [ends[1 + 3 * i:4 + 3 * i] for i in range(len(POSITION_KEYS))]
+    if not n or any(found < n for found, _, _ in of_key):
+        return F.struct(*POSITION_KEYS).alias(POS)
+    values = [high - low + 1 for _, low, high in of_key]
+    kind = "long" if math.prod(values) < 2**62 else "decimal(38,0)" if math.prod(values) < 10**37 else None
+    if kind is None:
+        return F.struct(*POSITION_KEYS).alias(POS)
+    out = None
+    for k, (_, low, _), size in zip(POSITION_KEYS, of_key, values):
+        place = (F.col(k) - F.lit(low)).cast(kind)
+        out = place if out is None else (out * F.lit(size).cast("long" if kind == "long" else "decimal(19,0)") + place).cast(kind)
+    return out.alias(POS)
+
+
+def driver_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions of all rows of ``driver_base_rows`` alone: a scan of four columns."""
+    li = _read(spark, sf_dir.rstrip("/"), "lineitem")
+    return li.select(driver_position(li))
+
+
 def driver_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sf_dir.rstrip("/")
     li = _read(spark, d, "lineitem")
+    position = driver_position(li)
     s = spark.read.parquet(f"{d}/supplier.parquet")
     n = spark.read.parquet(f"{d}/nation.parquet")
     r = spark.read.parquet(f"{d}/region.parquet")
@@ -87,7 +122,7 @@ def driver_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_acctbal") / F.lit(1000.0)).cast("string").alias(COLS["lat"]),
         (F.lit(-66.0) - (F.col("s_suppkey") % 13).cast("double")).cast("string").alias(COLS["lon"]),
         F.when(F.col("l_suppkey") % 2 == 0, F.lit("Urbana")).otherwise(F.lit("Rural")).alias(COLS["station_type"]),
-        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").alias(POS),
+        position,
     )
 
 

@@ -291,3 +291,43 @@ def test_repeated_updates_apply_one_by_one(spark):
     yes, no = U.insert_if_absent(t.withColumn("n", F.lit(0)), u, ["k"], order=["n"])
     assert [(r.k, r.v) for r in yes.collect()] == [(2, "x")]
     assert sorted((r.k, r.v) for r in no.collect()) == [(1, "b"), (1, "c"), (2, "y")]
+
+
+def test_row_numbers_whatever_the_splits(spark):
+    """Numbers of CSV rows follow their place in the file, for splits of any size; no sort of all rows."""
+    import os
+    import tempfile
+
+    from smogline.operators.positions import row_numbers
+
+    folder = tempfile.mkdtemp(prefix="smogline-csv-")
+    names = list(B.COLS.values())
+    with open(os.path.join(folder, "rows.csv"), "w", encoding="utf-8") as f:
+        f.write(",".join(names) + "\n")
+        for i in range(4000):
+            f.write(",".join(str(i) if c == B.COLS["station_id"] else "x" * (i % 9) for c in names) + "\n")
+    for size in ("2k", "9k", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        try:
+            rows = B.read_base_csv(spark, folder)
+            asked = rows.filter(F.col(B.COLS["station_id"]).isin("0", "17", "2500", "3999"))
+            got = row_numbers(rows, asked, B.POS)
+            assert sorted(r.row_number for r in got.collect()) == [1, 18, 2501, 4000]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_row_numbers_of_key_positions(spark, monkeypatch):
+    from smogline.operators import positions
+
+    monkeypatch.setattr(positions, "BLOCK_ROWS", 7)
+    keys = [(i * i % 101, i % 3) for i in range(90)]
+    rows = spark.createDataFrame([((a, b),) for a, b in keys], f"{B.POS} struct<a: long, b: int>")
+    want = sorted(keys)
+    got = positions.row_numbers(rows, rows.filter(F.col(f"{B.POS}.a") % 5 == 0), B.POS).collect()
+    assert {(tuple(r[0]), r[1]) for r in got} == {(k, want.index(k) + 1) for k in keys if k[0] % 5 == 0}
+    one = spark.createDataFrame([(x,) for x in (5, 9, 9, 2)], f"{B.POS} long")
+    assert {tuple(r) for r in positions.row_numbers(one, one, B.POS).collect()} == {(2, 1), (5, 2), (9, 3)}
+    assert positions.row_numbers(one.limit(0), one.limit(0), B.POS).count() == 0

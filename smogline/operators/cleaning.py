@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import constants as K
 from ..functions import calendar as cal
 from ..functions.numeric import is_finite
 
@@ -20,12 +19,6 @@ NATURAL_KEY = ["station_id", "pollutant_id", "ts_utc"]
 R_NULL, R_NEGATIVE, R_NON_FINITE, R_BAD_TS = "null", "negative", "non_finite", "bad_timestamp"
 
 
-def known_pollutants(df: DataFrame, col: str = "pollutant",
-                     names=tuple(p[0] for p in K.POLLUTANTS)) -> DataFrame:
-    """Keep rows whose pollutant name is one of the known six (op B2)."""
-    return df.filter(F.col(col).isin(list(names)))
-
-
 def _parsed_ts(df: DataFrame, ts_col: str) -> Column:
     dtype = df.schema[ts_col].dataType
     if isinstance(dtype, T.StringType):
@@ -169,7 +162,8 @@ def time_range(df: DataFrame, start=None, stop=None, ts_col: str = "ts_utc") ->
 
 def year_bounds(df: DataFrame, start=None, stop=None, col: str = "year") -> DataFrame:
     """The calendar years of ``[start, stop]`` on a store partitioned by year, so that the scan
-    skips the other partitions; a frame without the column is left as it is."""
+    skips the other partitions; a frame without the column is left as it is. Every filter on a time
+    range goes through here: batch ranges, extracts, pending rows and the export stream."""
     if col not in df.columns:
         return df
     if start is not None:
@@ -181,5 +175,5 @@ def year_bounds(df: DataFrame, start=None, stop=None, col: str = "year") -> Data
 
 def closed_range(df: DataFrame, start, end, ts_col: str = "ts_utc") -> DataFrame:
     """``BETWEEN start AND end``; a date end means midnight, so later rows that day are out (op B23)."""
-    return df.filter(F.col(ts_col).between(F.lit(start).cast("timestamp_ntz"),
-                                           F.lit(end).cast("timestamp_ntz")))
+    return year_bounds(df.filter(F.col(ts_col).between(F.lit(start).cast("timestamp_ntz"),
+                                                       F.lit(end).cast("timestamp_ntz"))), start, end)

@@ -16,6 +16,7 @@ from .. import constants as K
 from ..functions import calendar as cal
 from ..functions.numeric import nan_to_null
 from ..schemas import ENRICHED_COLUMNS
+from .cleaning import year_bounds
 from .joins import checked_broadcasts, lookup
 from .upsert import assign_surrogate_keys
 
@@ -38,6 +39,7 @@ def incremental_extract(raw: DataFrame, since_days: int = 0, limit: int | None =
         & F.col("value").isNotNull()
         & (F.col("ts_utc") >= F.lit(cutoff).cast("date").cast("timestamp_ntz"))
     )
+    df = year_bounds(df, cutoff)
     if limit is not None:
         df = newest_n(df, limit)
     return df
@@ -61,7 +63,7 @@ def newest_n(df: DataFrame, n: int, ts_col: str = "ts_utc", tie_col: str = "meas
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cut = days.withColumn("_c", running).filter(F.col("_c") >= n).agg(F.max("_d").alias("d")).first()["d"]
     if cut is not None:
-        df = df.filter(F.col(ts_col) >= F.lit(cut).cast("timestamp_ntz"))
+        df = year_bounds(df.filter(F.col(ts_col) >= F.lit(cut).cast("timestamp_ntz")), cut)
     ranked = assign_surrogate_keys(df, [F.col(ts_col).desc(), F.col(tie_col).desc()], key="_rank")
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..session import ensure_checkpoint_dir, pin_table
-from .cleaning import keep_one
+from .cleaning import closed_range, keep_one
 from .joins import checked_broadcasts
 
 NATURAL_KEY = ["station_id", "pollutant_id", "ts_utc"]
@@ -146,12 +146,15 @@ def upsert_measurements(target: DataFrame, updates: DataFrame, now=None,
     return out.withColumn("year", cal.year_of("ts_utc"))
 
 
+def is_pending() -> Column:
+    """Not yet exported: processed_at NULL and valid."""
+    return F.col("processed_at").isNull() & (F.col("is_valid") == F.lit(True))
+
+
 def pending_rows(df: DataFrame, start, end) -> DataFrame:
-    """Rows not yet exported: processed_at NULL, valid, ts BETWEEN start AND end (op H6)."""
-    return (df.filter(F.col("processed_at").isNull() & (F.col("is_valid") == F.lit(True))
-                      & F.col("ts_utc").between(F.lit(start).cast("timestamp_ntz"),
-                                                F.lit(end).cast("timestamp_ntz")))
-              .sortWithinPartitions("measurement_sk"))
+    """Rows not yet exported: processed_at NULL, valid, ts BETWEEN start AND end (op H6). On
+    a store partitioned by year only the years of the range are read."""
+    return closed_range(df.filter(is_pending()), start, end).sortWithinPartitions("measurement_sk")
 
 
 def mark_processed(target: DataFrame, written: DataFrame, now=None,

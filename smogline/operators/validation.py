@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from .joins import checked_broadcast
+from .joins import checked_broadcasts
 
 
 def _text(c: str) -> Column:
@@ -94,15 +94,27 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def orphan_counts(checks: list[tuple[str, str, DataFrame, DataFrame]]) -> DataFrame:
-    """(table, key, orphans) for each foreign key (op G8): an anti join of the
-    child against the parent's keys (a catalogue: broadcast behind a size check)."""
-    parts = []
-    for table, key, child, parent in checks:
-        orphans = child.select(key).filter(F.col(key).isNotNull()).join(
-            checked_broadcast(parent.select(key).distinct()), key, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans"))
-                     .select(F.lit(table).alias("table"), F.lit(key).alias("key"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """(table, key, orphans) for each foreign key (op G8).
+
+    Each table is scanned once: its rows are counted by all the keys that are checked, which is combined
+    in the tasks that read it, so a hot key is one row before any shuffle. What is left, a row for each
+    combination that occurs, is tested against each parent's keys (catalogues: broadcast behind a size check,
+    all measured in one job)."""
+    parents = checked_broadcasts([parent.select(F.col(key).alias(f"_parent_{i}")).distinct()
+                                  for i, (_, key, _, parent) in enumerate(checks)])
+    tables: dict[str, list[int]] = {}
+    for i, (table, *_) in enumerate(checks):
+        tables.setdefault(table, []).append(i)
+    out = None
+    for table, of_table in tables.items():
+        child, keys = checks[of_table[0]][2], [checks[i][1] for i in of_table]
+        seen = child.groupBy(*dict.fromkeys(keys)).agg(F.count(F.lit(1)).alias("_n"))
+        for i in of_table:
+            seen = seen.join(parents[i], F.col(checks[i][1]) == F.col(f"_parent_{i}"), "left")
+        counts = seen.agg(*[F.coalesce(F.sum(F.when(F.col(k).isNotNull() & F.col(f"_parent_{i}").isNull(), F.col("_n"))), F.lit(0))
+                            .alias(f"_orphans_{i}") for i, k in zip(of_table, keys)])
+        part = counts.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table"), F.lit(k).alias("key"), F.col(f"_orphans_{i}").cast("long").alias("orphans"))
+            for i, k in zip(of_table, keys)])).alias("_r")).select("_r.*")
+        out = part if out is None else out.unionByName(part)
     return out

@@ -193,15 +193,38 @@ def q_year_status(spark, sf_dir):
     return Y.year_status(_requested(spark), dt.measurements(spark, sf_dir), dt.readings(spark, sf_dir))
 
 
-@register("cascade_delete_readings", f"""
-SELECT * FROM readings WHERE station_id NOT IN (
-  SELECT station_id FROM stations WHERE zone_id IN (SELECT zone_id FROM zones WHERE city_name = '{DELETED_CITY}'))""",
-          ["readings", "stations", "zones"])
-def q_cascade(spark, sf_dir):
-    """Deleting the zones of one city removes its stations' readings."""
+_GONE_ZONES = f"(SELECT zone_id FROM zones WHERE city_name = '{DELETED_CITY}')"
+_GONE_STATIONS = f"(SELECT station_id FROM stations WHERE zone_id IN {_GONE_ZONES})"
+
+
+def _cascade(spark, sf_dir) -> dict[str, DataFrame]:
+    """Deleting the zones of one city removes its stations, their capabilities and readings."""
     z = dt.zones(spark, sf_dir)
     r = dt.readings(spark, sf_dir)
     caps = r.select("station_id", "pollutant_id", "unit").distinct()
-    out = U.cascade_delete_zones(z, dt.stations(spark, sf_dir), caps, r,
-                                 z.filter(F.col("city_name") == DELETED_CITY))
-    return out["measurements_raw"]
+    return U.cascade_delete_zones(z, dt.stations(spark, sf_dir), caps, r,
+                                  z.filter(F.col("city_name") == DELETED_CITY))
+
+
+@register("cascade_delete_readings", f"SELECT * FROM readings WHERE station_id NOT IN {_GONE_STATIONS}",
+          ["readings", "stations", "zones"])
+def q_cascade(spark, sf_dir):
+    return _cascade(spark, sf_dir)["measurements_raw"]
+
+
+@register("cascade_delete_zones", f"SELECT * FROM zones WHERE zone_id NOT IN {_GONE_ZONES}", ["zones"])
+def q_cascade_zones(spark, sf_dir):
+    return _cascade(spark, sf_dir)["zones"]
+
+
+@register("cascade_delete_stations", f"""
+SELECT * FROM stations WHERE zone_id IS NULL OR zone_id NOT IN {_GONE_ZONES}""", ["stations", "zones"])
+def q_cascade_stations(spark, sf_dir):
+    return _cascade(spark, sf_dir)["stations"]
+
+
+@register("cascade_delete_capabilities", f"""
+SELECT DISTINCT station_id, pollutant_id, unit FROM readings WHERE station_id NOT IN {_GONE_STATIONS}""",
+          ["readings", "stations", "zones"])
+def q_cascade_capabilities(spark, sf_dir):
+    return _cascade(spark, sf_dir)["station_capabilities"]

@@ -15,6 +15,7 @@ from ..sources import driver_tables as dt
 from ..sources import sinks as S
 from ..sources import years as Y
 from ..sources.fact_store import FactStore
+from ..streaming.export import export_points, read_points
 from .q_analyses import cleaned, with_clean
 from .q_enrich import RUN_LOADED_AT
 from .q_state import RAW_COLS, RESTATED_TYPE, STATION_COLS
@@ -149,3 +150,33 @@ def q_catalogue_republished(spark, sf_dir):
     S.write_table(dt.stations(spark, sf_dir), path)
     S.write_table(U.upsert_replace(S.read_table(spark, path), dt.suppliers(spark, sf_dir), ["station_id"]), path)
     return S.read_table(spark, path)
+
+
+@register("stream_points", """
+WITH src AS (
+  SELECT measurement_sk, station_id, pollutant_id, ts_utc, value, unit, source, year FROM readings
+  WHERE processed_at IS NULL AND is_valid
+  UNION ALL
+  SELECT measurement_sk + 100000000, station_id, pollutant_id, ts_utc - INTERVAL 1 YEAR, value + 5, unit, source,
+         CAST(year(ts_utc - INTERVAL 1 YEAR) AS INTEGER) FROM readings WHERE processed_at IS NULL AND is_valid),
+p AS (
+  SELECT 'air_quality' AS measurement, CAST(station_id AS VARCHAR) AS station_id, pollutant_id,
+         nullif(unit, '') AS unit, nullif(source, '') AS source, CAST(year AS VARCHAR) AS year,
+         date_trunc('second', ts_utc) AS time, value, measurement_sk FROM src)
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY measurement, station_id, pollutant_id, unit, source, year, time
+                               ORDER BY measurement_sk DESC) AS rn FROM p) WHERE rn = 1""", ["readings"])
+def q_stream_points(spark, sf_dir):
+    """The export stream over a year-partitioned store, run twice with one year rewritten
+    between, and the points as the time-series store would hold them (H6, H7, A12)."""
+    work = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    facts, out, log = f"{work}/facts", f"{work}/points", f"{work}/checkpoint"
+    r = dt.readings(spark, sf_dir)
+    before = r.withColumn("ts_utc", F.expr("ts_utc - INTERVAL 1 YEAR")).withColumn("year", cal.year_of("ts_utc")) \
+        .withColumn("measurement_sk", F.col("measurement_sk") + 100000000)
+    S.write_facts_by_year(r.unionByName(before), facts)
+    schema = spark.read.parquet(facts).schema
+    export_points(spark, facts, schema, out, log).awaitTermination()
+    S.write_facts_by_year(before.withColumn("value", F.col("value") + 5), facts)
+    export_points(spark, facts, schema, out, log).awaitTermination()
+    return read_points(spark, out)

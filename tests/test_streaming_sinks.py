@@ -1,9 +1,13 @@
+import datetime
 import tempfile
 
+from pyspark.sql import functions as F
+
 from smogline import schemas
 from smogline.sources import driver_tables as dt
 from smogline.sources import sinks as S
-from smogline.streaming.export import export_points, read_points
+from smogline.sources import versions
+from smogline.streaming.export import commit_epoch, export_points, read_epochs, read_points
 from tests.conftest import SF_SMALL
 
 
@@ -14,7 +18,7 @@ def test_export_stream_is_incremental(spark):
     readings.filter("pollutant_id <> 'view'").write.parquet(src)
     q = export_points(spark, src, schemas.MEASUREMENTS_RAW, out, checkpoint=ckpt)
     q.awaitTermination(120)
-    first = spark.read.parquet(out).count()
+    first = read_epochs(spark, out).count()
     # rows that the batch path exported before (processed_at set) stay out
     pending = readings.filter("processed_at is null")
     assert 0 < pending.count() < readings.count()
@@ -23,7 +27,7 @@ def test_export_stream_is_incremental(spark):
     readings.filter("pollutant_id = 'view'").write.mode("append").parquet(src)
     q = export_points(spark, src, schemas.MEASUREMENTS_RAW, out, checkpoint=ckpt)
     q.awaitTermination(120)
-    total = spark.read.parquet(out).count()
+    total = read_epochs(spark, out).count()
     assert total == expected + S.points(pending.filter("pollutant_id = 'view'")).count()
     # The same rows written again (a rewritten partition) are exported again;
     # reading the points back keeps one per (tags, time), the latest epoch.
@@ -72,3 +76,67 @@ def test_catalogue_with_a_missing_column_fails(spark):
     dt.stations(spark, SF_SMALL).select("station_id").write.parquet(f"{work}/part")
     with pytest.raises(ValueError):
         S.read_catalogue(spark, f"{work}/part", schemas.STATIONS)
+
+
+def test_epochs_are_committed_once_and_compacted(spark):
+    import pytest
+    out = tempfile.mkdtemp(prefix="smogline-epochs-")
+    pts = S.points(dt.readings(spark, SF_SMALL))
+    n = pts.count()
+    for epoch in range(4):
+        assert commit_epoch(pts.withColumn("value", pts["value"] + epoch), out, epoch, keep_epochs=3)
+        assert not commit_epoch(pts, out, epoch, keep_epochs=3)  # a retry after the commit
+    log = versions.manifest(spark, out)
+    assert len(log["folders"]) == 1 and log["last_epoch"] == 3
+    assert read_epochs(spark, out).count() == n
+    want = {tuple(r) for r in pts.withColumn("value", pts["value"] + 3).select("station_id", "time", "value").collect()}
+    assert {tuple(r) for r in read_points(spark, out).select("station_id", "time", "value").collect()} == want
+    # an epoch that is lost between its points and its commit isn't seen, and comes again
+    kept = versions.commit
+    try:
+        versions.commit = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+        with pytest.raises(RuntimeError):
+            commit_epoch(pts, out, 4)
+    finally:
+        versions.commit = kept
+    assert read_epochs(spark, out).count() == n
+    assert commit_epoch(pts, out, 4) and read_epochs(spark, out).count() == 2 * n
+    with pytest.raises(ValueError):
+        read_points(spark, tempfile.mkdtemp())
+
+
+def test_time_ranges_skip_year_partitions(spark):
+    from smogline.operators import cleaning as C
+    from smogline.operators import enrich as E
+    from smogline.operators import upsert as U
+
+    path = tempfile.mkdtemp(prefix="smogline-years-") + "/facts"
+    r = dt.readings(spark, SF_SMALL)
+    moved = r.withColumn("ts_utc", F.expr("ts_utc - INTERVAL 9 YEAR")).withColumn("year", F.year("ts_utc"))
+    S.write_facts_by_year(r.unionByName(moved), path)
+    store = spark.read.parquet(path)
+
+    def filters(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan[plan.index("PartitionFilters"):].split("], ")[0]
+
+    for df in (E.incremental_extract(store, since_days=30, today=datetime.date(2024, 2, 1)),
+               U.pending_rows(store, "2024-01-01", "2024-01-15"), C.closed_range(store, "2024-01-01", "2024-01-15"),
+               C.time_range(store, "2024-01-01", "2024-01-15")):
+        assert "year#" in filters(df) and ">=" in filters(df)
+    assert U.pending_rows(store, "2024-01-01", "2024-01-15").count() == U.pending_rows(r.drop("year"), "2024-01-01", "2024-01-15").count()
+
+
+def test_orphans_are_counted_in_one_scan_of_each_table(spark):
+    from smogline.operators import validation as V
+
+    folder = tempfile.mkdtemp(prefix="smogline-orphans-")
+    rows = [(1, "a")] * 500 + [(2, "b"), (None, "c"), (3, None), (9, "z"), (9, "z")]
+    spark.createDataFrame(rows, "station_id int, pollutant_id string").write.parquet(f"{folder}/fact")
+    fact = spark.read.parquet(f"{folder}/fact")
+    stations = spark.createDataFrame([(1,), (2,), (None,), (2,)], "station_id int")
+    pollutants = spark.createDataFrame([("a",), ("c",)], "pollutant_id string")
+    out = V.orphan_counts([("fact", "station_id", fact, stations), ("fact", "pollutant_id", fact, pollutants)])
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {tuple(r) for r in out.collect()} == {("fact", "station_id", 3), ("fact", "pollutant_id", 3)}
+    assert {r.orphans for r in V.orphan_counts([("fact", "station_id", fact.limit(0), stations)]).collect()} == {0}

@@ -132,6 +132,14 @@ def generator_partitions(plan: DataFrame, rows_per_task: int = ROWS_PER_TASK) ->
     return max(cores, -(-int(total) // rows_per_task))
 
 
+def days_by_year(plan: DataFrame) -> dict[int, int]:
+    """Rows that the generator will make for each year, from the plan's windows: a row for each year."""
+    y = plan.withColumn("year", F.explode(F.sequence(F.year("first_day"), F.year("last_day"))))
+    first = F.greatest("first_day", F.make_date("year", F.lit(1), F.lit(1)))
+    last = F.least("last_day", F.make_date("year", F.lit(12), F.lit(31)))
+    return {r["year"]: r["n"] for r in y.groupBy("year").agg(F.sum(F.datediff(last, first) + 1).alias("n")).collect()}
+
+
 def with_spikes(days: DataFrame) -> DataFrame:
     """Add ``_spike``: a U(1.5, 2.5) factor on exactly floor(2% of the series'
     days) days chosen by hash rank, 1.0 elsewhere (op D11). One series is at

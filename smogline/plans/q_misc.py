@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import catalogs as CAT
 from ..operators import lookup as L
+from ..operators import synth as SY
 from ..operators import validation as V
 from ..operators import upsert as U
+from ..session import pin_table, scratch_path
 from ..sources import base_csv as B
 from ..sources import driver_tables as dt
 from ..sources import sinks as S
@@ -182,14 +187,21 @@ counts AS (
             FROM (SELECT unnest(range(start_year, end_year + 1)) AS y FROM sp))
 SELECT "table", CAST(n AS BIGINT) AS n, n > 0 AS ok FROM counts"""), [])
 def q_output_check(spark, sf_dir):
-    """Catalogue counts and measurement years of one generator run."""
-    from ..operators import catalogs as CAT
-    from ..operators import synth as SY
+    """A whole run of the generator job leaves its catalogues and facts, each derived and written once; then
+    what is there is checked from metadata alone (A9, A10, A13)."""
+    out = scratch_path(spark, f"outputs-{uuid.uuid4().hex}")
+
+    def left(name, df):
+        S.write_table(df, f"{out}/{name}")
+        return S.read_table(spark, f"{out}/{name}")
+
     b = base(spark, sf_dir)
-    zones = zones_c(spark, sf_dir, b)
-    stations = stations_c(spark, sf_dir, b, zones)
-    caps = caps_c(spark, sf_dir, b, stations)
-    series = SY.daily_series(_plan(spark, sf_dir, b, stations, caps), WIN)
-    return S.output_check({"zones": zones, "stations": stations,
-                           "pollutants": CAT.pollutant_catalogue(spark), "station_capabilities": caps},
-                          series)
+    zones = left("zones", zones_c(spark, sf_dir, b))
+    stations = left("stations", stations_c(spark, sf_dir, b, zones))
+    left("pollutants", CAT.pollutant_catalogue(spark))
+    caps = left("station_capabilities", caps_c(spark, sf_dir, b, stations))
+    plan = pin_table(_plan(spark, sf_dir, b, stations, caps), "plan")
+    series = SY.daily_series(plan, WIN, SY.generator_partitions(plan))
+    S.write_facts_by_year(series, f"{out}/measurements", rows_by_year=SY.days_by_year(plan))
+    return S.output_check(spark, {n: f"{out}/{n}" for n in ("zones", "stations", "pollutants", "station_capabilities")},
+                          f"{out}/measurements")

@@ -28,12 +28,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds, by name; nothing if it doesn't exist."""
+    fs, folder = _place(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def _numbers(spark: SparkSession, root: str) -> list[int]:
-    fs, folder = _place(spark, f"{root}/{LIVE}")
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+    return sorted(int(n[:-5]) for n in names(spark, f"{root}/{LIVE}") if n.endswith(".json") and n[:-5].isdigit())
 
 
 def manifest(spark: SparkSession, root: str) -> dict | None:

@@ -39,6 +39,15 @@ def test_jobs_chain_end_to_end(spark):
     plan = SY.series_plan(caps, stations, SY.raw_means_from(sums), SY.trends(SY.yearly_means_from(sums)), WIN)
     series = SY.daily_series(plan, WIN)
     S.write_facts_by_year(series, f"{work}/facts")
+    assert SY.days_by_year(plan) == {r.year: r["count"] for r in spark.read.parquet(f"{work}/facts").groupBy("year").count().collect()}
+    S.write_table(zones, f"{work}/zones")
+    stations.write.parquet(f"{work}/stations")
+    left = {r.table: (r.n, r.ok) for r in S.output_check(
+        spark, {"zones": f"{work}/zones", "stations": f"{work}/stations", "missing": f"{work}/none"}, f"{work}/facts").collect()}
+    years = sorted(SY.days_by_year(plan))
+    assert left == {"zones": (zones.count(), True), "stations": (stations.count(), True), "missing": (0, False),
+                    "measurement_years": (len(years), True)}
+    assert S.loaded_years(spark, f"{work}/facts") == years and S.loaded_years(spark, f"{work}/none") == []
     n_caps, n_days = caps.count(), plan.agg(F.sum(F.datediff("last_day", "first_day") + 1)).first()[0]
     assert n_caps > 0
 

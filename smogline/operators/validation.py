@@ -41,9 +41,19 @@ def rule_iso_datetime(c: str, required: bool = True) -> Column:
     return F.coalesce(rule_required(c), r) if required else r
 
 
-def measurement_rules() -> list[Column]:
+# The texts that a form's boolean field takes, in any case.
+BOOLEAN_TEXTS = ["0", "off", "f", "false", "n", "no", "1", "on", "t", "true", "y", "yes"]
+
+
+def rule_bool(c: str) -> Column:
+    """An empty field takes its default; anything else must read as true or false."""
+    return F.when(~_blank(c) & ~F.lower(_text(c)).isin(BOOLEAN_TEXTS), F.lit(f"{c}: not a boolean"))
+
+
+def measurement_rules(flagged: bool = False) -> list[Column]:
     """The measurement form: station int, pollutant <= 20, ISO time, decimal value,
-    unit <= 20, source <= 50 (op B19)."""
+    unit <= 20, source <= 50 (op B19); with ``flagged`` the form has ``is_valid`` too, a boolean (true if empty)."""
+    rules = [rule_bool("is_valid")] if flagged else []
     return [
         rule_int("station_id"),
         F.coalesce(rule_required("pollutant_id"), rule_max_len("pollutant_id", 20)),
@@ -51,6 +61,7 @@ def measurement_rules() -> list[Column]:
         rule_decimal("value"),
         rule_max_len("unit", 20),
         rule_max_len("source", 50),
+        *rules,
     ]
 
 

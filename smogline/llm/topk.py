@@ -13,7 +13,8 @@ Defined results: vectors that are null or hold a null or non-finite component ta
 part, nor do rows with a null id; rows repeated with the same id and vector count once; rows with the same id
 and other vectors are queries of their own but never candidates of each other; vectors
 meet only vectors of the same length; ties go to the smaller id; fewer than k
-candidates give fewer rows; an empty table gives none.
+candidates give fewer rows; an empty table gives none. Sums that pass 2^53 are taken in Python's whole
+numbers, exactly; components beyond a long are held at its ends, and so are scores (they tie there).
 """
 
 from __future__ import annotations
@@ -66,8 +67,15 @@ class Best:
         self.query = self.cand = self.score = np.zeros(0, np.int64)
         self.kth = np.full(len(ids), -np.inf)
 
+    def widen(self) -> None:
+        """From now on scores are Python's whole numbers."""
+        self.score, self.kth = self.score.astype(object), self.kth.astype(object)
+
     def add(self, active: np.ndarray, scores: np.ndarray, cand: np.ndarray) -> None:
         """``scores`` of the active queries (rows) with some candidates (columns)."""
+        if self.score.dtype == object:
+            self._add_wide(active, scores, cand)
+            return
         own = cand[None, :] == self.ids[active][:, None]
         scores = np.where(own, -np.inf, scores)
         least = self.kth[active]
@@ -85,12 +93,27 @@ class Best:
         full = rank == self.k - 1
         self.kth[query[full]] = score[full]
 
+    def _add_wide(self, active: np.ndarray, scores: np.ndarray, cand: np.ndarray) -> None:
+        """The same with whole numbers of any size, query by query."""
+        for i, q in enumerate(active.tolist()):
+            mine = self.query == q
+            found = [(min(max(int(s), -2**63), 2**63 - 1), int(c)) for s, c in zip(scores[i], cand) if c != self.ids[q]]
+            found = sorted([*found, *zip(self.score[mine].tolist(), self.cand[mine].tolist())], key=lambda x: (-x[0], x[1]))[:self.k]
+            self.query = np.concatenate([self.query[~mine], np.full(len(found), q)])
+            self.cand = np.concatenate([self.cand[~mine], np.array([c for _, c in found], np.int64)])
+            self.score = np.concatenate([self.score[~mine], np.array([s for s, _ in found], object)])
+            if len(found) == self.k:
+                self.kth[q] = found[-1][0]
+
 
 def threshold_search(best: Best, ids: np.ndarray, body: np.ndarray, lists: np.ndarray, depth: int = 8) -> int:
     """Let the candidates of one block into ``best``; returns how many were scored."""
     n, dim = body.shape
-    most = float(np.abs(best.body).max(initial=0)) * float(np.abs(body).max(initial=0)) * max(dim, 1)
-    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
+    largest = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (best.body, body)]
+    most = largest[0] * largest[1] * max(dim, 1)
+    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
+    if kind is object:
+        best.widen()
     queries, vectors = best.body.astype(kind), body.astype(kind)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
     seen, active = np.zeros(n, bool), np.arange(len(best.ids))
@@ -105,7 +128,8 @@ def threshold_search(best: Best, ids: np.ndarray, body: np.ndarray, lists: np.nd
         new = np.flatnonzero(new & ~seen)
         seen[new] = True
         if len(new):
-            best.add(active, (queries[active] @ vectors[new].T).astype(np.float64), ids[new])
+            scores = queries[active] @ vectors[new].T
+            best.add(active, scores if kind is object else scores.astype(np.float64), ids[new])
         if seen.all():
             break
         across = np.arange(dim)
@@ -163,7 +187,7 @@ def _rows(best: Best) -> pa.RecordBatch:
     key = (best.body.astype(np.uint64) * (np.arange(best.body.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1))
            * np.uint64(0x9E3779B97F4A7C15)).sum(axis=1, dtype=np.uint64).view(np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(best.ids[best.query]), pa.array(key[best.query]), pa.array(best.cand), pa.array(best.score)],
+        [pa.array(best.ids[best.query]), pa.array(key[best.query]), pa.array(best.cand), pa.array(best.score.tolist(), pa.int64())],
         names=["query_id", "query_key", "vec_id", "score"])
 
 
@@ -174,7 +198,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
            FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),

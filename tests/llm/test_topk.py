@@ -51,3 +51,23 @@ def test_query_matches_sql(spark, monkeypatch):
     want = sorted(duckdb.sql(topk.ORACLE).fetchall())
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.op5_topk(spark, TABLE).collect())
     assert got == want and len(got) == 25 * 20
+
+
+def test_scores_beyond_what_a_double_holds(spark):
+    """Whole numbers above 2^53 are told apart, and those beyond a long are held at its end."""
+    big = 10_000_000.0
+    rows = [(20, [big, big, 1 / 64, 0.0]), (1, [big / 2, big / 2, 34 / 64, 0.0]), (3, [big / 2, big / 2, 36 / 64, 0.0]),
+            (2, [big / 2, big / 2, 35 / 64, 7.0]), (5, [-big, 3.0, 0.0, 0.0]), (40, [1e6, -1e7, 0.5, 2.0])]
+    rng = np.random.default_rng(8)
+    rows += [(100 + int(i), [float(x) for x in rng.integers(-10**7, 10**7, 4)]) for i in range(40)]
+    rows += [(3, rows[2][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.filter("vec_id % 20 = 0"), k=6)
+    want = plain(rows, lambda i: i % 20 == 0, 6)
+    assert max(abs(r[3]) for r in want) > 2**53
+    assert sorted(map(tuple, got.collect())) == want
+    far = [(20, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [1e299, 5.0]), (3, [-1.0, 0.0]), (4, [-1e300, 0.0])]
+    df = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.filter("vec_id = 20"), k=3).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [
+        (1, 1, 2**63 - 1), (2, 2, 2**63 - 1), (3, 3, -2**63)]

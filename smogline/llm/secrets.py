@@ -41,8 +41,11 @@ CANDIDATE = re.compile(r"(?<![\w+/-])[A-Za-z0-9+/_-]{16,}={0,2}(?!\w)")
 #: list entry), and the password in a URL.
 ASSIGNMENT = re.compile(r"""(?:(?<![^\W\d_])(?i:password|passwd|pwd|passphrase|credentials?|secret|token|apikey|key)"""
                         r"""|(?<=[a-z])(?:Password|Passwd|Secret|Token|Key))\\?["'`]?\s*(?:=>|:=|==?|:(?!//))[^\S\n]*""")
-VALUE = re.compile(r"""\\?(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`"""
-                   r"""|["'`]?((?:(?![;,&](?:\s|$|[\w.-]{1,40}=)|[.,;)\]}'`\\]+(?:\s|$))[^\s"])+))""")
+QUOTED = re.compile(r"""\\?(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`)""")
+#: Where an unquoted value ends: at a space or a double quote, before marks that a space follows, or before what
+#: begins the next entry of a list.
+STOP, MARKS = re.compile(r"""[\s"]"""), ".,;)]}'`\\"
+NEXT_ENTRY = re.compile(r"[;,&](?=\s|$|[\w.-]{1,40}=)")
 URL_PASSWORD = re.compile(r"://[^\s:/@]*:([^\s/]+)@")
 NEIGHBOUR = re.compile(r"[^\W\d_]{2,}")
 #: Labelled findings that the forest is trained on at most, and dictionary words.
@@ -108,13 +111,51 @@ def shape(token: str, log_p: np.ndarray, dictionary: set[str]) -> list[float]:
             *(float((kinds == k).mean()) for k in range(4)), float(-(p * np.log2(p)).sum()), covered(token, dictionary)]
 
 
+class Values:
+    """The values assigned at places of a text, asked for in ascending order: each part of it is read once."""
+
+    def __init__(self, text: str):
+        self.text, self.stop, self.end = text, -1, -1
+
+    def _ends(self, at: int) -> None:
+        """Where an unquoted value from ``at`` on stops, and its end without the marks before a space."""
+        if at <= self.stop:
+            return
+        m = STOP.search(self.text, at)
+        self.stop = self.end = m.start() if m else len(self.text)
+        if not m or self.text[self.stop] != '"':
+            while self.end > at and self.text[self.end - 1] in MARKS:
+                self.end -= 1
+
+    def find(self, at: int) -> tuple[int, int] | None:
+        """(start, end) of the value at a place: quoted, or as far as it goes."""
+        text = self.text
+        m = QUOTED.match(text, at)
+        if m:
+            return m.span(m.lastindex)
+        at += text[at:at + 1] == "\\"
+        # a quote that nothing closes may open the value; if it is all there is, it is the value
+        for start in ((at + 1, at) if text[at:at + 1] in ('"', "'", "`") and at < len(text) else (at,)):
+            if text[start:start + 1] == '"':
+                continue
+            self._ends(start)
+            entry = NEXT_ENTRY.search(text, start, min(len(text), self.end + 42))
+            last = min(entry.start(), self.end) if entry else self.end
+            if last > start and not (last == at + 1 == self.end and text[at] in MARKS and text[self.stop:self.stop + 1] != '"'):
+                return start, last
+        return None
+
+
 def spans(text: str) -> list[tuple[int, int, bool]]:
-    """(start, end, whether it is an assigned value or a URL's password) of every candidate in order."""
+    """(start, end, whether it is an assigned value or a URL's password) of every candidate in order. What is
+    assigned within a value is part of that value, so the text is read once."""
     found = {m.span(): False for m in CANDIDATE.finditer(text)}
+    values, reached = Values(text), 0
     for m in ASSIGNMENT.finditer(text):
-        v = VALUE.match(text, m.end())
-        if v:
-            found[v.span(v.lastindex)] = True
+        value = values.find(m.end()) if m.end() >= reached else None
+        if value:
+            found[value] = True
+            reached = value[1]
     found |= {m.span(1): True for m in URL_PASSWORD.finditer(text)}
     return [(*at, found[at]) for at in sorted(found)]
 

@@ -56,3 +56,22 @@ def test_every_formatted_secret_of_the_table_is_kept(spark):
     assert len(want) > 50 and len(want & keys) >= 0.98 * len(want)
     plain = [r for r in got if r.candidate.isalpha() and r.candidate.islower()]
     assert sum(not r.secret for r in plain) >= 0.99 * len(plain)
+
+
+def test_values_of_every_kind():
+    for text, values in [
+            ("password=abc123xyz, next", ["abc123xyz"]), ('token = "a b\\"c"', ['a b\\"c']), ("secret: 'x y' z", ["x y"]),
+            ("key=a&token=b", ["a", "b"]), ("pwd='open", ["open"]), ("token=`", []), ("token=...", []), ("key=a;b c", ["a;b"]),
+            ("token=a.b.) end", ["a.b"]), ("secret=token=abc", ["token=abc"]), ('token=ab"cd', ["ab"])]:
+        assert [text[a:b] for a, b, assigned in secrets.spans(text) if assigned] == values, text
+
+
+def test_long_texts_are_read_once():
+    import time
+
+    for text in ("token=" * 170_000, "password=" + "." * 1_000_000, "key=a&" * 160_000, "token='" * 150_000,
+                 "token=;" * 150_000, "://a:" * 200_000, "x" * 1_000_000):
+        began = time.perf_counter()
+        found = secrets.spans(text)
+        assert time.perf_counter() - began < 8
+        assert sum(b - a for a, b, _ in found) <= 2 * len(text)

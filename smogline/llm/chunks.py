@@ -26,14 +26,16 @@ QUESTION = "part int, chunk int, n int, body binary"
 ANSWER = "chunk int, part int, level int, n int, body binary"
 
 
-def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) as a table bucketed by chunk, and the number of hash parts."""
+def chunk_table(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES,
+                least: int | None = None) -> tuple[DataFrame, int]:
+    """(chunk, doc_id, text) as a table bucketed by chunk, and the number of hash parts. A small input has ``least``
+    chunks, by default two a bucket."""
     spark = docs.sparkSession
     rows = common.plain_rows(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     shuffle = common.shuffle_parts(spark)
     buckets = max(shuffle, int(total // (4 * CHUNK_BYTES)) + 1)
-    chunks = max(2 * buckets, int(total // CHUNK_BYTES) + 1)
+    chunks = max(least or 2 * buckets, int(total // chunk_bytes) + 1)
     rows = rows.withColumn("chunk", common.hash_part(F.xxhash64("doc_id", "text"), chunks, "chunk"))
     return bucketed(rows, "chunk", buckets), max(shuffle, int(total // PART_BYTES) + 1)
 

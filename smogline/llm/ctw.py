@@ -12,7 +12,8 @@ and end with a byte that UTF-8 never has.
 Counts are of distinct contexts by chunk of documents, summed by hash part of the two
 latest bytes, so a part holds whole subtrees. Only the nodes above (at most 256 * 255
 decisions after one byte) are summed for all and sent to the tasks. Each chunk gets back the code length
-of just the strings it has. Word counts for the base score travel the same way.
+of just the strings it has, in the order in which it asked, as 32-bit numbers (a score is right to about 1e-7 of
+itself). Word counts for the base score travel the same way. The tree reads the bytes as they are; only the words are lower-cased.
 
 Defined results: a null text counts as empty and has one token, its end; a row with a
 null id is scored but not learned from, and its held_out is null; repeated rows count
@@ -30,13 +31,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smogline.session import pin_table
-
 from . import chunks, common
 
 #: As many bytes of context as fit a packed number beside the byte itself.
 DEPTH = 6
 END = b"\n"  # no word holds white space
+#: Text of a chunk (the larger, the fewer strings are asked for twice), text handled at once, strings of one step of trees.
+CHUNK_BYTES, BLOCK_BYTES, BLOCK_GRAMS = 16 << 20, 2 << 20, 1 << 16
 ASKED = "part int, chunk int, n_words int, n_grams int, body binary"
 TOLD = "chunk int, part int, n_words int, n_grams int, body binary"
 SCORED = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
@@ -68,6 +69,45 @@ def weigh(own: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both, np.exp(own - np.logaddexp(own, below))
 
 
+# ------------------------------------------------------------------ numbers on the way
+
+def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending numbers as steps of one to eight bytes, counts of one byte or, from 255 on, of nine."""
+    step = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    size = np.ones(len(step), np.uint8)
+    for k in range(1, 8):
+        size += step >= np.uint64(1 << 8 * k)
+    body = step.view(np.uint8).reshape(-1, 8)[np.arange(8) < size[:, None]]
+    return b"".join(x.tobytes() for x in (size, np.minimum(counts, np.uint64(255)).astype(np.uint8),
+                                          counts[counts >= 255].astype("<u8"), body))
+
+
+def unpacked(body: memoryview, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, counts) of ``packed``."""
+    size, counts = np.frombuffer(body, np.uint8, n), np.frombuffer(body, np.uint8, n, n).astype(np.uint64)
+    large = np.flatnonzero(counts == 255)
+    counts[large] = np.frombuffer(body, "<u8", len(large), 2 * n)
+    step = np.zeros((n, 8), np.uint8)
+    step[np.arange(8) < size[:, None]] = np.frombuffer(body, np.uint8, -1, 2 * n + 8 * len(large))
+    return np.cumsum(step.reshape(-1).view("<u8"), dtype=np.uint64), counts
+
+
+def squeezed(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unsqueezed(body: bytes) -> memoryview:
+    return memoryview(pa.decompress(body[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True))
+
+
+def summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """(distinct keys in order, the sum of each value over equal keys)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+    return [key[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)]
+
+
 # ------------------------------------------------------------------ what a chunk holds
 
 class Texts:
@@ -78,37 +118,63 @@ class Texts:
         self.ids = docs.column("doc_id").to_pylist()
         rest = [None if i is None else zlib.crc32(str(i).encode()) % 10 for i in self.ids]
         self.held = [None if r is None else r == 0 for r in rest]
+        self.learn = np.array([h is False for h in self.held])
         self.raw = [t.encode() for t in docs.column("text").to_pylist()]
         self.depth = depth
 
-    def words(self) -> tuple[list[list[int]], np.ndarray]:
+    def words(self) -> tuple[list[np.ndarray], np.ndarray]:
         """(for each document the numbers of its words, the words' hashes in order); equal hashes are one word."""
-        lists = [[*r.lower().split(), END] for r in self.raw]
         number: dict[bytes, int] = {}
-        for words in lists:
-            for w in words:
-                number.setdefault(w, len(number))
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in number], dtype=np.uint64)
-        distinct, place = np.unique(hashes, return_inverse=True)
-        get = number.__getitem__
-        return [place[np.fromiter(map(get, words), np.int64, len(words))] for words in lists], distinct
-
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """(a number for each byte and end: its context, latest byte first, and itself; the documents' bounds)."""
-        pad, depth = bytes(self.depth), self.depth
-        flat = np.frombuffer(b"".join(p for r in self.raw for p in (pad, r, b"\xff")), np.uint8)
-        sizes = np.array([len(r) + 1 for r in self.raw])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        lists = []
+        for r in self.raw:
+            words = [*r.lower().split(), END]
+            lists.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+        distinct, place = np.unique(np.array([xxhash.xxh64_intdigest(w) for w in number], dtype=np.uint64), return_inverse=True)
+        return [place[words] for words in lists], distinct
+
+    def blocks(self):
+        """(documents, keys, bounds) for about BLOCK_BYTES of text at a time, long texts in pieces: a number for
+        each byte and end (its context, latest byte first, and itself) and where each document's begin."""
+        owner, parts, held = [], [], 0
+        for d, r in enumerate(self.raw):
+            whole = bytes(self.depth) + r + b"\xff"
+            for at in range(0, len(r) + 1, BLOCK_BYTES):
+                owner.append(d)
+                parts.append(whole[at:at + BLOCK_BYTES + self.depth])
+                held += len(parts[-1])
+                if held >= BLOCK_BYTES:
+                    yield np.array(owner), *self.keys(parts)
+                    owner, parts, held = [], [], 0
+        if parts:
+            yield np.array(owner), *self.keys(parts)
+
+    def keys(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        depth, flat = self.depth, np.frombuffer(b"".join(parts), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(p) - depth for p in parts])])
         key = np.zeros(len(flat) - depth, np.uint64)
         for k in range(1, depth + 1):
             key = key << np.uint64(8) | flat[depth - k:len(flat) - k]
         key = key << np.uint64(8) | flat[depth:]
-        # of document d the keys start where its padding did
+        # a piece's keys start where its padding did
         here = np.ones(len(key), bool)
         for d in range(depth):
-            here[(bounds[1:-1] + depth * np.arange(1, len(self.raw))) - 1 - d] = False
+            here[(bounds[1:-1] + depth * np.arange(1, len(parts))) - 1 - d] = False
         return key[here], bounds
 
+    def grams(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash part, byte string, training count) of each distinct byte string, by part and string."""
+        keys, times = [], []
+        for owner, key, bounds in self.blocks():
+            # the lowest bit tells training documents, so that one sort counts both
+            mark = np.sort(key << np.uint64(1) | np.repeat(self.learn[owner].astype(np.uint64), np.diff(bounds)))
+            starts = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+            keys.append(mark[starts] >> np.uint64(1))
+            times.append(np.diff(np.append(starts, len(mark))).astype(np.uint64) * (mark[starts] & np.uint64(1)))
+        grams, seen = summed(np.concatenate(keys), np.concatenate(times))
+        part = gram_part(grams, self.depth, parts)
+        order = np.argsort(part, kind="stable")
+        return part[order], grams[order], seen[order]
+
 
 def gram_part(keys: np.ndarray, depth: int, parts: int) -> np.ndarray:
     """Hash part of the two latest context bytes."""
@@ -116,41 +182,21 @@ def gram_part(keys: np.ndarray, depth: int, parts: int) -> np.ndarray:
     return ((top >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """(distinct keys in order, the sum of each value over equal keys)."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-    return [key[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)]
-
-
 def ask(docs: pa.Table, depth: int, parts: int) -> pa.Table:
     """ASKED rows: words (hash, training count) and byte strings (number, training count) of a chunk."""
     texts = Texts(docs, depth)
     lists, hashes = texts.words()
-    learn = [h is False for h in texts.held]
     count = np.zeros(len(hashes), np.uint64)
-    for words, yes in zip(lists, learn):
-        if yes:
-            count += np.bincount(words, minlength=len(hashes)).astype(np.uint64) if len(words) > len(hashes) // 8 else np.uint64(0)
-            if len(words) <= len(hashes) // 8:
-                np.add.at(count, words, np.uint64(1))
-    keys, bounds = texts.grams()
-    # the lowest bit tells training documents, so that one sort counts both
-    mark = np.sort(keys << np.uint64(1) | np.repeat(np.array(learn, np.uint64), np.diff(bounds)))
-    starts = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
-    times = np.diff(np.append(starts, len(mark))).astype(np.uint64)
-    grams, seen = summed(mark[starts] >> np.uint64(1), times * (mark[starts] & np.uint64(1)))
+    for k in np.flatnonzero(texts.learn):
+        np.add.at(count, lists[k], np.uint64(1))
     word_part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    at_part = gram_part(grams, depth, parts)
-    order = np.argsort(at_part, kind="stable")
-    grams, seen, at_part = grams[order], seen[order], at_part[order]
+    at_part, grams, seen = texts.grams(parts)
     rows = []
     for p in np.union1d(word_part, at_part).tolist():
         w = slice(*np.searchsorted(word_part, [p, p + 1]))
         g = slice(*np.searchsorted(at_part, [p, p + 1]))
-        body = b"".join(x.tobytes() for x in (hashes[w], count[w].astype("<u8"), np.diff(grams[g], prepend=np.uint64(0)), seen[g]))
-        rows.append((p, texts.chunk, w.stop - w.start, g.stop - g.start, body))
+        body = hashes[w].tobytes() + count[w].astype("<u8").tobytes() + packed(grams[g], seen[g])
+        rows.append((p, texts.chunk, w.stop - w.start, g.stop - g.start, squeezed(body)))
     cols = list(zip(*rows))
     return pa.table({n: pa.array(c, pa.binary() if n == "body" else pa.int32())
                      for n, c in zip(("part", "chunk", "n_words", "n_grams", "body"), cols)})
@@ -158,75 +204,93 @@ def ask(docs: pa.Table, depth: int, parts: int) -> pa.Table:
 
 # ------------------------------------------------------------------ what a part knows
 
-class Part:
-    """The summed counts of a hash part, and the subtrees below two bytes of context."""
+class Subtrees:
+    """The trees below some pairs of latest context bytes: their byte strings in order, and training counts."""
 
-    def __init__(self, rows: pa.Table, depth: int):
-        self.depth, self.rows = depth, rows.select(["part", "chunk", "n_words", "n_grams"]).to_pylist()
-        self.words, self.grams, counts, seen = [], [], [], []
-        for row, body in zip(self.rows, rows.column("body").to_pylist()):
-            n, m = row["n_words"], row["n_grams"]
-            cols = [np.frombuffer(body, np.uint64, k, at) for k, at in ((n, 0), (n, 8 * n), (m, 16 * n), (m, 16 * n + 8 * m))]
-            self.words.append(cols[0])
-            counts.append(cols[1])
-            self.grams.append(np.cumsum(cols[2], dtype=np.uint64))
-            seen.append(cols[3])
-        self.word, self.count = summed(np.concatenate(self.words), np.concatenate(counts))
-        self.gram, n = summed(np.concatenate(self.grams), np.concatenate(seen))
-        byte = (self.gram & np.uint64(255)).astype(np.int64)
-        context = self.gram >> np.uint64(8)
-        bits = np.arange(8)
-        self.bit = (byte[:, None] >> (7 - bits) & 1).ravel()
-        self.node = ((1 << bits) | byte[:, None] >> (8 - bits)).ravel()
-        n = np.repeat(n.astype(float), 8)
-        # nodes of each depth: number of each decision's node, and by node the counts
-        self.at, self.n0, self.n1, codes = {}, {}, {}, {}
-        for d in range(min(2, depth), depth + 1):
-            code = np.repeat(context >> np.uint64(8 * (depth - d)) << np.uint64(8), 8) | self.node.astype(np.uint64)
-            codes[d], self.at[d] = np.unique(code, return_inverse=True)
-            self.n1[d] = np.bincount(self.at[d], n * self.bit, len(codes[d]))
-            self.n0[d] = np.bincount(self.at[d], n * (1 - self.bit), len(codes[d]))
-        self.own, self.total = {}, log_kt(self.n0[depth], self.n1[depth])
+    def __init__(self, grams: np.ndarray, seen: np.ndarray, depth: int):
+        self.depth = depth
+        byte, bits = (grams & np.uint64(255)).astype(np.uint8), np.arange(8, dtype=np.uint8)
+        self.bit = (byte[:, None] >> (7 - bits) & 1).astype(bool).ravel()
+        node = ((1 << bits) | byte.astype(np.uint16)[:, None] >> (8 - bits)).astype(np.uint64)
+        code, self.at = np.unique((grams[:, None] & ~np.uint64(255) | node).ravel(), return_inverse=True)
+        self.at = self.at.astype(np.int32)
+        n = np.repeat(seen.astype(float), 8)
+        # by depth: the counts of each node, its number among the nodes above, and its own share
+        self.n1, self.n0, self.up, self.own = {}, {}, {}, {}
+        self.n1[depth] = np.bincount(self.at, n * self.bit, len(code))
+        self.n0[depth] = np.bincount(self.at, n, len(code)) - self.n1[depth]
+        self.total = log_kt(self.n0[depth], self.n1[depth])
         for d in range(depth - 1, 1, -1):
-            up = np.searchsorted(codes[d], codes[d + 1] >> np.uint64(16) << np.uint64(8) | codes[d + 1] & np.uint64(255))
-            below = np.bincount(up, self.total, len(codes[d]))
+            code, self.up[d + 1] = np.unique(code >> np.uint64(16) << np.uint64(8) | code & np.uint64(255), return_inverse=True)
+            self.n0[d], self.n1[d], below = (np.bincount(self.up[d + 1], v, len(code)) for v in (self.n0[d + 1], self.n1[d + 1], self.total))
             self.total, self.own[d] = weigh(log_kt(self.n0[d], self.n1[d]), below)
-        self.codes = codes[min(2, depth)]
-
-    def top(self) -> pa.Table:
-        """(code, below, n0, n1) by decision after one byte of context; code -1 has the words' totals."""
-        code = ((self.codes >> np.uint64(16) << np.uint64(8)) | self.codes & np.uint64(255)).astype(np.int64)
-        k, n0, n1 = min(2, self.depth), self.n0, self.n1
-        distinct, at = np.unique(code, return_inverse=True)
-        cols = [np.bincount(at, v, len(distinct)) for v in (self.total, n0[k], n1[k])]
-        return pa.table({"code": pa.array([-1, *distinct.tolist()], pa.int32()),
-                         "below": pa.array([0.0, *cols[0].tolist()]),
-                         "n0": pa.array([int(self.count.sum()), *cols[1].astype(int).tolist()], pa.int64()),
-                         "n1": pa.array([int(np.count_nonzero(self.count)), *cols[2].astype(int).tolist()], pa.int64())})
+        #: decisions after one byte of context
+        self.one = (code >> np.uint64(16) << np.uint64(8) | code & np.uint64(255)).astype(np.int64)
 
     def code_lengths(self, upper: dict) -> np.ndarray:
-        """log10 of the probability of each distinct byte string's last byte."""
-        p, known = None, np.zeros(len(self.bit), bool)
-        one = (np.repeat((self.gram >> np.uint64(8 * self.depth)).astype(np.int64), 8) << 8) | self.node
+        """log10 of the probability of each byte string's last byte."""
+        chain = p = known = None
         for d in range(self.depth, -1, -1):
             if d >= 2:
-                n0, n1 = self.n0[d][self.at[d]], self.n1[d][self.at[d]]
-                own = self.own[d][self.at[d]] if d < self.depth else 1.0
+                n0, n1, own = self.n0[d], self.n1[d], self.own.get(d, 1.0)
+                if chain is not None:
+                    n0, n1, own = n0[chain], n1[chain], own[chain]
             else:
-                where = one if d else self.node
+                where = self.one[chain] if chain is not None else self.one
+                where = where if d else where & 255
                 n0, n1, own = (upper[f"{k}{d}"][where] for k in ("n0_", "n1_", "own_"))
-            kt = (np.where(self.bit, n1, n0) + 0.5) / (n0 + n1 + 1)
+            kt = (n1 + 0.5) / (n0 + n1 + 1)
             p = kt if p is None else np.where(known, own * kt + (1 - own) * p, kt)
             known = n0 + n1 > 0
-        return np.log10(p.reshape(-1, 8)).sum(axis=1)
+            if d > 2:
+                chain = self.up[d] if chain is None else self.up[d][chain]
+        return np.log10(np.where(self.bit, p[self.at], 1 - p[self.at]).reshape(-1, 8)).sum(axis=1)
+
+
+class Part:
+    """The summed counts of a hash part; its trees are built for some pairs of latest bytes at a time."""
+
+    def __init__(self, rows: pa.Table, depth: int):
+        self.depth, self.rows = depth, rows.select(["part", "chunk", "n_words", "n_grams"]).to_pylist()
+        self.words, self.grams, counts, seen = [], [], [], []
+        for row, body in zip(self.rows, rows.column("body")):
+            n, body = row["n_words"], unsqueezed(body.as_py())
+            self.words.append(np.frombuffer(body, np.uint64, n))
+            counts.append(np.frombuffer(body, np.uint64, n, 8 * n))
+            for out, x in zip((self.grams, seen), unpacked(body[16 * n:], row["n_grams"])):
+                out.append(x)
+        self.word, self.count = summed(np.concatenate(self.words), np.concatenate(counts))
+        self.gram, self.seen = summed(np.concatenate(self.grams), np.concatenate(seen))
+
+    def subtrees(self):
+        """(slice of the byte strings, their trees), whole pairs of latest bytes, as few as hold BLOCK_GRAMS."""
+        pair = self.gram >> np.uint64(8 * (self.depth - 1))
+        ends = np.append(np.flatnonzero(pair[1:] != pair[:-1]) + 1, len(pair))
+        at = 0
+        while at < len(pair):
+            to = int(ends[min(np.searchsorted(ends, at + BLOCK_GRAMS), len(ends) - 1)])
+            yield slice(at, to), Subtrees(self.gram[at:to], self.seen[at:to], self.depth)
+            at = to
+
+    def top(self) -> pa.Table:
+        """(code, below, n0, n1) by decision after one byte of context; code -1 has the words' totals."""
+        sums = np.zeros((3, 1 << 16))
+        for _, tree in self.subtrees():
+            for k, v in enumerate((tree.total, tree.n0[2], tree.n1[2])):
+                sums[k] += np.bincount(tree.one, v, 1 << 16)
+        code = np.flatnonzero(sums[1] + sums[2])
+        below, n0, n1 = sums[:, code]
+        return pa.table({"code": pa.array([-1, *code.tolist()], pa.int32()), "below": pa.array([0.0, *below.tolist()]),
+                         "n0": pa.array([int(self.count.sum()), *n0.astype(int).tolist()], pa.int64()),
+                         "n1": pa.array([int(np.count_nonzero(self.count)), *n1.astype(int).tolist()], pa.int64())})
 
     def tell(self, upper: dict) -> pa.Table:
-        """TOLD rows: each chunk's words' counts, and its byte strings with their code lengths."""
-        lengths = self.code_lengths(upper).astype(np.float32)
-        bodies = []
-        for words, grams in zip(self.words, self.grams):
-            bodies.append(self.count[np.searchsorted(self.word, words)].tobytes()
-                          + np.diff(grams, prepend=np.uint64(0)).tobytes() + lengths[np.searchsorted(self.gram, grams)].tobytes())
+        """TOLD rows: each chunk's words' counts, and the code lengths of its byte strings, in the order asked."""
+        lengths = np.empty(len(self.gram), np.float32)
+        for here, tree in self.subtrees():
+            lengths[here] = tree.code_lengths(upper)
+        bodies = [squeezed(self.count[np.searchsorted(self.word, words)].tobytes() + lengths[np.searchsorted(self.gram, grams)].tobytes())
+                  for words, grams in zip(self.words, self.grams)]
         cols = {n: pa.array([r[n] for r in self.rows], pa.int32()) for n in ("chunk", "part", "n_words", "n_grams")}
         return pa.table(cols | {"body": pa.array(bodies, pa.binary())})
 
@@ -253,7 +317,7 @@ class Lookup:
     """Values by number, in a table with open addresses."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(4 * len(keys) + 1).bit_length())
+        self.bits = max(4, int(2 * len(keys) + 1).bit_length())
         self.keys = np.full(1 << self.bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.values = np.zeros(1 << self.bits, values.dtype)
         left, step = np.arange(len(keys)), 0
@@ -281,24 +345,24 @@ class Lookup:
         return out
 
 
-def scores(docs: pa.Table, answers: pa.Table, depth: int, tokens: int, distinct: int) -> pa.Table:
+def scores(docs: pa.Table, answers: pa.Table, depth: int, parts: int, tokens: int, distinct: int) -> pa.Table:
     """SCORED rows of one chunk."""
     names = [f.split()[0] for f in SCORED.split(", ")]
     if not docs.num_rows:
         return pa.table({n: pa.array([], _kind(n)) for n in names})
     texts = Texts(docs, depth)
-    counts, grams, lengths = [], [], []
+    counts, lengths = [], []
     for row in sorted(answers.to_pylist(), key=lambda r: r["part"]):
-        n, m, body = row["n_words"], row["n_grams"], row["body"]
-        counts.append(np.frombuffer(body, np.uint64, n))
-        grams.append(np.cumsum(np.frombuffer(body, np.uint64, m, 8 * n), dtype=np.uint64))
-        lengths.append(np.frombuffer(body, np.float32, m, 8 * n + 8 * m))
+        body = unsqueezed(row["body"])
+        counts.append(np.frombuffer(body, np.uint64, row["n_words"]))
+        lengths.append(np.frombuffer(body, np.float32, row["n_grams"], 8 * row["n_words"]))
     lists, _ = texts.words()
     count = np.concatenate(counts).astype(float)
     base = np.log10((count + 0.1) / (tokens + 0.1 * (distinct + 1)))
-    keys, bounds = texts.grams()
-    length = Lookup(np.concatenate(grams), np.concatenate(lengths))(keys).astype(float)
-    score = np.add.reduceat(length, bounds[:-1])
+    # answers have no keys: they come in the order in which the chunk asked
+    length, score = Lookup(texts.grams(parts)[1], np.concatenate(lengths)), np.zeros(len(texts.raw))
+    for owner, keys, bounds in texts.blocks():
+        np.add.at(score, owner, np.add.reduceat(length(keys).astype(float), bounds[:-1]))
     known = count > 0
     size = [len(r) for r in texts.raw]
     cols = {
@@ -319,7 +383,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     if not 2 <= depth <= 6:
         raise ValueError("a string of 2 to 6 context bytes and one more fits a number")
     sc = docs.sparkSession.sparkContext
-    table, parts = chunks.chunk_table(docs, id_col, text_col)
+    table, parts = chunks.chunk_table(docs, id_col, text_col, CHUNK_BYTES, least=8)
     asked = chunks.each_chunk(table, None, lambda docs, _: ask(docs, depth, parts), ASKED)
     asked = chunks.bucketed(asked, "part", parts)
     by_part = asked.groupBy("part")
@@ -327,8 +391,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     # at most 256 * 255 decisions and one row of totals
     upper, tokens, distinct = upper_tree(top.groupBy("code").agg(*(F.sum(c).alias(c) for c in ("below", "n0", "n1"))).collect())
     sent = sc.broadcast(upper)
-    answers = pin_table(by_part.applyInArrow(lambda rows: Part(rows, depth).tell(sent.value), TOLD), "answers")
-    return chunks.each_chunk(table, answers, lambda docs, told: scores(docs, told, depth, tokens, distinct), SCORED)
+    # read once, so they are only shuffled; a lost task is worked out again from the written questions
+    answers = by_part.applyInArrow(lambda rows: Part(rows, depth).tell(sent.value), TOLD)
+    return chunks.each_chunk(table, answers, lambda docs, told: scores(docs, told, depth, parts, tokens, distinct), SCORED)
 
 
 def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from smogline.llm import ctw
@@ -89,6 +91,38 @@ def test_default_depth_sees_six_bytes(spark):
     assert got != sorted((w[0], round(w[6], 3)) for w in plain(rows, 4))
 
 
+def test_blocks_and_pieces_change_nothing(monkeypatch):
+    rows = [(i, " ".join(f"{'ab' * (i % 3)}{j % 7}" for j in range(i * 9))) for i in range(14)] + [(None, "ab0 ab1"), (3, "")]
+    # texts cut within words, trees of one pair of bytes each; called here, as tasks would not see the small blocks
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(ctw, "BLOCK_GRAMS", 1)
+    depth, parts = 4, 3
+    docs = [pa.table({"chunk": pa.array([c] * len(rows[c::2]), pa.int32()), "doc_id": pa.array([i for i, _ in rows[c::2]], pa.int64()),
+                      "text": [t for _, t in rows[c::2]]}) for c in range(2)]
+    asked = pa.concat_tables([ctw.ask(d, depth, parts) for d in docs])
+    held_by = [ctw.Part(asked.filter(pc.equal(asked["part"], p)), depth) for p in range(parts)]
+    sums = defaultdict(lambda: np.zeros(3))
+    for part in held_by:
+        for r in part.top().to_pylist():
+            sums[r["code"]] += [r["below"], r["n0"], r["n1"]]
+    upper, tokens, distinct = ctw.upper_tree({"code": c, "below": v[0], "n0": v[1], "n1": v[2]} for c, v in sums.items())
+    told = pa.concat_tables([part.tell(upper) for part in held_by])
+    got = [r for c, d in enumerate(docs) for r in ctw.scores(d, told.filter(pc.equal(told["chunk"], c)), depth, parts, tokens, distinct).to_pylist()]
+    got = sorted([tuple(r.values())[:7] for r in got], key=str)
+    for g, w in zip(got, sorted(plain(rows, depth), key=str), strict=True):
+        assert g[:5] == w[:5] and g[5:] == (pytest.approx(w[5], rel=1e-9), pytest.approx(w[6], rel=1e-6))
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 62, 500, dtype=np.uint64), np.arange(300, dtype=np.uint64)]))
+    counts = rng.choice(np.array([0, 1, 7, 254, 255, 256, 1 << 40], dtype=np.uint64), len(keys))
+    body = ctw.squeezed(ctw.packed(keys, counts))
+    for got, want in zip(ctw.unpacked(ctw.unsqueezed(body), len(keys)), (keys, counts)):
+        assert np.array_equal(got, want)
+    assert [len(x) for x in ctw.unpacked(memoryview(ctw.packed(keys[:0], counts[:0])), 0)] == [0, 0]
+
+
 def test_lookup_and_log_gamma():
     keys = np.random.default_rng(0).integers(0, 1 << 40, 5000, dtype=np.uint64)
     keys = np.unique(keys)

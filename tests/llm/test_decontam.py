@@ -13,15 +13,21 @@ ITEMS = [(1, " ".join(f"w{i}" for i in range(30))), (2, "one two three four five
 
 
 def plain(doc, item):
-    """Most equal tokens in any window on any diagonal, if similar enough."""
+    """Most equal tokens in any window on any diagonal, if similar enough; short items whole."""
     d, i = decontam.tokens(doc), decontam.tokens(item)
-    w = min(13, len(i))
-    if len(i) < 8 or len(d) < w:
+    if len(i) < 8:
+        held = d == i if len(i) < 3 else any(d[k:k + len(i)] == i for k in range(len(d)))
+        return len(i) if i and held else None
+    if len(d) < 8 or sum(t in i for t in d) < 7:  # any window needs seven equal tokens at least
         return None
     same = np.array(d, dtype=object)[:, None] == np.array(i, dtype=object)[None, :]
-    n, m = len(d) - w + 1, len(i) - w + 1
-    best = int(sum(same[k:k + n, k:k + m].astype(int) for k in range(w)).max())
-    return best if best >= 0.8 * w else None
+    best = 0
+    for shift in range(8 - len(d), len(i) - 7):
+        equal = np.diagonal(same, shift).astype(int)
+        w = min(13, len(equal))
+        top = int(np.convolve(equal, np.ones(w, int), "valid").max()) if w >= 8 else 0
+        best = max(best, top if top >= 0.8 * w else 0)
+    return best or None
 
 
 def check(spark, docs, items, df=None):
@@ -51,6 +57,21 @@ def test_awkward_rows_and_empty_tables(spark):
     check(spark, rows, [], frame(spark, rows))
 
 
+def test_short_items_and_passages_cut_at_an_edge(spark, monkeypatch):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    items = [(1, item), (2, "what is the capital of this country"), (3, "yes"), (4, "forty two"), (5, "a b c"), (6, " .,; ")]
+    words = item.split()
+    docs = [(1, " ".join(words[:12])), (2, " ".join(words[5:]) + " and so on it goes with other words here"), (3, " ".join(words[:7])),
+            (4, "and so on " + " ".join(words[:8])), (5, "and so on " + " ".join(words[:6]) + " x"), (6, "He asked: What is the capital of this country?"),
+            (7, "what is the largest capital of this country"), (8, "Yes!"), (9, "yes it is forty two"), (10, "Forty-two"), (11, "x a b c d"), (12, "a b")]
+    for block in (decontam.BLOCK_BYTES, 40):  # 40: several blocks
+        monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+        got = check(spark, docs, items)
+        assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (2, 1), (4, 1), (6, 2), (8, 3), (10, 4), (11, 5)}
+        kept = decontam.without_overlaps(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+        assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 7, 9, 12]
+
+
 def test_masks_lose_no_window():
     for w in range(8, 14):
         for miss in itertools.chain.from_iterable(itertools.combinations(range(w), m) for m in range(w // 5 + 1)):

@@ -187,7 +187,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                      item_id_col: str = "item_id", item_text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with all their columns."""
-    at, left = docs.columns.index(text_col), [docs]
+    at, names = docs.columns.index(text_col), docs.columns
+    # by number on the way: Python stages take no names with dots
+    left = [docs.toDF(*(f"c{k}" for k in range(len(names))))]
+    schema = left[0].schema
 
     def step(sent) -> DataFrame:
         def run(batches):
@@ -195,12 +198,12 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
                 keep = [next(sent.value.search(t), None) is None for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        return left[-1].mapInArrow(run, docs.schema)
+        return left[-1].mapInArrow(run, schema)
 
     # each block sees what the blocks before it left
     for kept in by_block(docs, benchmark, item_id_col, item_text_col, step, settings):
         left.append(kept)
-    return left[-1]
+    return left[-1].toDF(*names)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

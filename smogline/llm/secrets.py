@@ -7,8 +7,8 @@ log-probability under the character transitions of all documents, classes of cha
 changes); how much of it dictionary words cover (the most frequent short words of all documents); its
 path (the share of secrets among the labelled findings of its source); and its neighbours (the
 share of secrets among the labelled findings beside the same word). A random forest of
-``pyspark.ml`` is trained on labelled findings, a bounded sample of them (``fit_rows``), and
-scores every candidate; those below ``keep`` are false positives.
+``pyspark.ml`` is trained on labelled findings, a bounded sample of them (``fit_rows``; the shares above are over
+all of them), and scores every candidate; those below ``keep`` are false positives.
 
 ``weak_labels`` labels findings by formats: a provider's key format or an assignment
 to a credential's name is a secret; a token without digits that is no such value is none. Anything else has no
@@ -32,6 +32,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from smogline.operators.joins import checked_broadcasts
 from smogline.session import pin_table
 
 from . import common
@@ -209,12 +210,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     plain = found.select("doc_id", "start", "candidate")
     if min(sizes.get(0, 0), sizes.get(1, 0)) < 10:
         return plain.withColumn("probability", F.lit(None).cast("double")).withColumn("secret", F.lit(True))
-    whole = sizes[1] / (sizes[0] + sizes[1])
-    rates = {c: _rates(sample, c, whole) for c in ("path", "before", "after")}
+    whole = marked.agg(F.avg("secret")).first()[0]
+    columns = ("path", "before", "after")
+    # over all labelled findings; a table beyond the bound is joined by a shuffle
+    rates = dict(zip(columns, checked_broadcasts([pin_table(_rates(marked, c, whole), "rates") for c in columns])))
 
     def features(df: DataFrame) -> DataFrame:
-        for c, rate in rates.items():  # as many rows as the bounded sample has at most
-            df = df.join(F.broadcast(rate), df[c].eqNullSafe(rate[f"at_{c}"]), "left").drop(f"at_{c}")
+        for c, rate in rates.items():
+            df = df.join(rate, df[c].eqNullSafe(rate[f"at_{c}"]), "left").drop(f"at_{c}")
         known = [F.coalesce(F.col(f"rate_{c}"), F.lit(whole)) for c in rates]
         return df.withColumn("features", array_to_vector(F.concat("shape", F.array(*known))))
 
@@ -226,9 +229,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     return scored.select("doc_id", "start", "candidate", p.alias("probability"), (p >= keep).alias("secret"))
 
 
-def _rates(sample: DataFrame, column: str, whole: float) -> DataFrame:
+def _rates(findings: DataFrame, column: str, whole: float) -> DataFrame:
     """The share of secrets among labelled findings with the same value, shrunk to the whole's by 5 findings."""
-    return (sample.groupBy(F.col(column).alias(f"at_{column}"))
+    return (findings.groupBy(F.col(column).alias(f"at_{column}"))
             .agg(((F.sum("secret") + 5 * whole) / (F.count("*") + 5)).alias(f"rate_{column}")))
 
 

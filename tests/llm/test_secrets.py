@@ -48,6 +48,28 @@ def test_awkward_rows(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
 
 
+def test_shares_are_over_all_findings(spark, monkeypatch):
+    rng = random.Random(10)
+    made = [planted(n, rng) for n in range(400)]
+    seen, rates = [], secrets._rates
+
+    def spy(findings, column, whole):
+        out = rates(findings, column, whole)
+        seen.append((column, whole, findings.count(), {r[0]: r[1] for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(secrets, "_rates", spy)
+    got = secrets.scan(frame(spark, [(n, t) for n, (t, _) in enumerate(made)]), fit_rows=40).collect()
+    assert sum(r.secret == made[r.doc_id][1] for r in got) >= 390
+    whole = sum(s for _, s in made) / 400
+    for column, share, n, table in seen:
+        assert share == whole and n == 400
+        if column == "path":
+            for path in (None, "s0", "s1"):
+                mine = [s for k, (_, s) in enumerate(made) if (f"s{k % 2}" if k % 5 else None) == path]
+                assert abs(table[path] - (sum(mine) + 5 * whole) / (len(mine) + 5)) < 1e-12
+
+
 def test_every_formatted_secret_of_the_table_is_kept(spark):
     got = secrets.op8_secrets(spark, TABLE).collect()
     keys = {(r.doc_id, r.candidate) for r in got if r.secret}

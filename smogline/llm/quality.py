@@ -105,8 +105,8 @@ def labelled(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
            .agg(F.max((F.col("quality") == 0).cast("int")).alias("low_quality"),
                 F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    # bounded by fit_rows: three numbers a row
-    return docs.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).select("text", *TARGETS)
+    # bounded by fit_rows: three numbers a row; of several texts with one id always the same one
+    return docs.join(F.broadcast(few), "doc_id").groupBy("doc_id", *TARGETS).agg(F.min("text").alias("text")).select("text", *TARGETS)
 
 
 def telling_words(sample: DataFrame, count: int) -> list[str]:

@@ -31,8 +31,9 @@ from . import common
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 #: Parts of a word from which on merges come from a heap.
 LONG_WORD = 48
-#: Words that a Python worker remembers; when full, the memory starts anew.
-CACHE_WORDS = 150_000
+#: Words that a Python worker remembers; when full, the memory starts anew. Longer words are not remembered, so
+#: it holds a bounded number of bytes.
+CACHE_WORDS, CACHE_LENGTH = 150_000, 64
 NO_RANK = 1 << 60
 
 
@@ -144,8 +145,6 @@ class WordBpe:
         """(ids, decoded text)."""
         memory = self.memory
         got = [memory[p] for p in self.pieces(text)]
-        if len(memory) > CACHE_WORDS:
-            memory.clear()
         ids = np.frombuffer(b"".join([g[0] for g in got]), dtype=np.int32)
         return ids, " ".join([g[1] for g in got])
 
@@ -172,7 +171,11 @@ class _Memory(dict):
     def __missing__(self, word):
         bpe = self.bpe
         ids = [bpe.special[str(word)]] if isinstance(word, _Special) else bpe.encode_word(word)
-        got = self[word] = (np.array(ids, dtype=np.int32).tobytes(), bpe.decode(ids))
+        got = np.array(ids, dtype=np.int32).tobytes(), bpe.decode(ids)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = got
         return got
 
 

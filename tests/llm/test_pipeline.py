@@ -60,6 +60,16 @@ def test_stages_take_awkward_rows_and_none(spark):
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
 
 
+def test_stages_take_dotted_and_quoted_names(spark):
+    df = frame(spark, AWKWARD).withColumns({"meta.host": F.lit("h"), "a`b": F.lit(1), "doc": F.lit(2), "row": F.lit(3), "kept": F.lit(4)})
+    for name, stage in P.STAGES:
+        out = stage(spark, df, TABLE)
+        assert 0 < out.count() <= len(AWKWARD)
+        if name != "tokens":
+            assert out.columns == df.columns, name
+            assert {tuple(r)[-5:] for r in out.collect()} == {("h", 1, 2, 3, 4)}, name
+
+
 def test_rows_without_id_are_filtered_like_others(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")

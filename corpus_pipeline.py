@@ -34,17 +34,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     got = got.filter((F.col("n_removed") <= 0) | (F.col("n_removed") < F.col("n_lines")))
     changed = F.col("n_removed") > 0
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return got.select(*(F.when(changed, new[c]).otherwise(F.col(f"doc.{c}")).alias(c) if c in new
-                        else F.col(f"doc.{c}").alias(c) for c in docs.columns))
+    return got.select(*(F.when(changed, new[c]).otherwise(F.col(f"doc.{quoted(c)}")).alias(c) if c in new
+                        else F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns))
+
+
+def quoted(name: str) -> str:
+    """A column's name as one word, whatever dots or marks it has."""
+    return f"`{name.replace('`', '``')}`"
 
 
 def one_of_each(docs: DataFrame, places: DataFrame) -> DataFrame:
     """A row of ``docs`` for each of ``places`` that it has. Rows of one place are reduced first, by an
     aggregate, so such rows are combined before they are shuffled."""
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("row")
+    plain = [quoted(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    one = F.min_by(F.struct(*map(quoted, docs.columns)), F.xxhash64(*plain)).alias("row")
     rows = docs.groupBy(common.row_place("doc_id", "text").alias("place")).agg(one)
-    return rows.join(places, "place", "left_semi").select(*(F.col(f"row.`{c}`") for c in docs.columns))
+    return rows.join(places, "place", "left_semi").select(*(F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,9 +38,15 @@ PLACE = "decimal(38,0)"
 def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(row, line, h1, h2, at, ahead, back): a line of each distinct row, its place in the
     order of all lines, and the lengths of the shortest runs from it on and up to it."""
-    # 64 bits of id, 31 bits of the text's hash, 31 bits of line number: below 10^38
-    base = ((F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)"))
-            * F.lit(2**62).cast("decimal(19,0)")).cast(PLACE) + (F.col("row").bitwiseAND(F.lit(2**31 - 1)) * F.lit(2**31)).cast("decimal(19,0)")
+    # 64 bits of id, 31 bits of the text's hash, 31 bits of line number; without an id, beyond all of these and with
+    # 92 bits of hash: below 10^38
+    def wide(high, low):
+        return ((high.cast("decimal(20,0)") * F.lit(2**62).cast("decimal(19,0)")).cast(PLACE)
+                + (low.bitwiseAND(F.lit(2**31 - 1)) * F.lit(2**31)).cast("decimal(19,0)")).cast(PLACE)
+
+    with_id = wide(F.col(id_col).cast("long").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)"), F.col("row.a"))
+    without = F.lit(str(2**126)).cast(PLACE) + wide(F.col("row.b").bitwiseAND(F.lit(2**61 - 1)), F.col("row.a"))
+    base = F.when(F.col(id_col).isNull(), without).otherwise(with_id)
     rows = (docs.filter(F.col(text_col).isNotNull())
             .select(F.col(id_col), row_key(id_col, text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
             .select("row", base.cast(PLACE).alias("base"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body")))
@@ -62,7 +68,9 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
 
 
 def row_key(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    """128 bits of id and text: 64 alone would give two of some billion rows one key."""
+    values = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(9), *values).alias("b"))
 
 
 def named(rows: DataFrame, keys: list[str], name: str, how: str) -> DataFrame:

@@ -45,6 +45,14 @@ def test_random_sequences_match_brute_force(spark):
         assert query(frame(spark, rows), min_chars) == plain(rows, min_chars)
 
 
+def test_places_of_largest_ids_and_of_none(spark):
+    line = "a line of text that is long enough to count as a run of its own"
+    rows = [(None, f"{line}\nnone {n}") for n in range(6)] + [(2**63 - 1, f"{line}\nlast"), (-2**63, f"first\n{line}\nanother such {line}")]
+    rows += [(2**63 - 1, f"another such {line}")]
+    got = {(r.doc.doc_id, r.doc.text): r.kept for r in lines.drop_repeated(frame(spark, rows)).collect()}
+    assert got == {(None, rows[n][1]): f"none {n}" for n in range(6)} | {rows[6]: "last", rows[7]: rows[7][1], rows[8]: ""}
+
+
 def test_awkward_rows(spark):
     got = lines.drop_repeated(frame(spark)).collect()
     by = {}

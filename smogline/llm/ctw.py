@@ -23,8 +23,10 @@ gives an empty result. Only the two named columns are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +104,7 @@ def unsqueezed(body: bytes) -> memoryview:
 
 def summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """(distinct keys in order, the sum of each value over equal keys)."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
     return [key[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v[:0] for v in values)]
@@ -124,11 +126,11 @@ class Texts:
 
     def words(self) -> tuple[list[np.ndarray], np.ndarray]:
         """(for each document the numbers of its words, the words' hashes in order); equal hashes are one word."""
-        number: dict[bytes, int] = {}
-        lists = []
+        number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+        get, lists = number.__getitem__, []
         for r in self.raw:
             words = [*r.lower().split(), END]
-            lists.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+            lists.append(np.fromiter(map(get, words), np.int64, len(words)))
         distinct, place = np.unique(np.array([xxhash.xxh64_intdigest(w) for w in number], dtype=np.uint64), return_inverse=True)
         return [place[words] for words in lists], distinct
 
@@ -171,9 +173,14 @@ class Texts:
             keys.append(mark[starts] >> np.uint64(1))
             times.append(np.diff(np.append(starts, len(mark))).astype(np.uint64) * (mark[starts] & np.uint64(1)))
         grams, seen = summed(np.concatenate(keys), np.concatenate(times))
-        part = gram_part(grams, self.depth, parts)
-        order = np.argsort(part, kind="stable")
-        return part[order], grams[order], seen[order]
+        # strings of one pair of latest bytes stand together and stay so
+        pair = grams >> np.uint64(8 * (self.depth - 1))
+        starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        part, sizes = gram_part(grams[starts], self.depth, parts), np.diff(np.append(starts, len(grams)))
+        runs = np.argsort(part, kind="stable")
+        sizes = sizes[runs]
+        order = np.repeat(starts[runs] - np.cumsum(sizes) + sizes, sizes) + np.arange(len(grams))
+        return np.repeat(part[runs], sizes), grams[order], seen[order]
 
 
 def gram_part(keys: np.ndarray, depth: int, parts: int) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
@@ -42,31 +42,40 @@ def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str |
     return r.load()
 
 
-def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE,
-                        rows_by_year: dict[int, int] | None = None) -> None:
-    """One dataset partitioned by year (snappy by default) (op A9). With
-    dynamic partition overwrite only the years present in ``df`` are replaced.
+def files_by_year(rows_by_year: dict[int, int], rows_per_file: int = ROWS_PER_FILE) -> dict[int, int]:
+    """Files of each year that hold about ``rows_per_file`` rows."""
+    return {y: max(1, -(-n // rows_per_file)) for y, n in rows_by_year.items()}
 
-    A histogram of rows by year (counted here unless the caller has it) sets the number of files of each
-    year, and each file is one task's: a small year is one file, and one that holds most rows is written by as many
-    tasks as it needs. Rows go to a year's files by a hash of the natural key, so files hold about
-    ``rows_per_file`` rows, and never more than twice as many."""
-    if rows_by_year is None:  # a row for each year: bounded by the calendar
-        rows_by_year = {r["year"]: r["count"] for r in df.groupBy("year").count().collect()}
-    files = {y: max(1, -(-n // rows_per_file)) for y, n in rows_by_year.items()}
-    if not files:
-        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
-        return
+
+def file_places(files: dict[int, int], *key: str) -> tuple[int, Column]:
+    """The number of files, and a row's file by its ``year`` and a hash of ``key``. A year that ``files`` lacks (rows
+    may arrive while it is counted) goes to the first."""
     first = F.lit(None).cast("int")
     count, at = F.lit(None).cast("int"), 0
     for y, n in sorted(files.items(), key=lambda x: (x[0] is None, x[0])):
         here = F.col("year").eqNullSafe(F.lit(y))
         first, count = F.when(here, F.lit(at)).otherwise(first), F.when(here, F.lit(n)).otherwise(count)
         at += n
-    place = first + F.pmod(F.xxhash64("station_id", "pollutant_id", "ts_utc"), count).cast("int")
-    # a year that the histogram lacks (rows may arrive while it is counted) goes to the first task
-    (df.repartitionById(at, F.coalesce(place, F.lit(0))).write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
+    return at, F.coalesce(first + F.pmod(F.xxhash64(*key), count).cast("int"), F.lit(0))
+
+
+def write_facts_by_year(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE,
+                        rows_by_year: dict[int, int] | None = None, dealt: bool = False) -> None:
+    """One dataset partitioned by year (snappy by default) (op A9). With
+    dynamic partition overwrite only the years present in ``df`` are replaced.
+
+    A histogram of rows by year (counted here unless the caller has it) sets the number of files of each
+    year, and each file is one task's: a small year is one file, and one that holds most rows is written by as many
+    tasks as it needs. Rows go to a year's files by a hash of the natural key, so files hold about
+    ``rows_per_file`` rows, and never more than twice as many. ``dealt`` rows lie in their files' tasks
+    already (``file_places``) and are written without a shuffle."""
+    if not dealt:
+        if rows_by_year is None:  # a row for each year: bounded by the calendar
+            rows_by_year = {r["year"]: r["count"] for r in df.groupBy("year").count().collect()}
+        files = files_by_year(rows_by_year, rows_per_file)
+        if files:
+            df = df.repartitionById(*file_places(files, "station_id", "pollutant_id", "ts_utc"))
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
        .partitionBy("year").parquet(path))
 
 

@@ -296,10 +296,10 @@ FROM generated GROUP BY 1, 2, 3, 4, 5, 6"""
 def q_daily_series_months(spark, sf_dir):
     """The generated series by month (D6-D14): days, exact sum, smallest, largest, and a digest
     that ties each value to its day, so that every generated row counts."""
-    cents = F.round(F.col("value") * 100).cast("long")
-    day = F.to_date(F.substring("ts_utc", 1, 10))
+    cents = F.rint(F.col("value") * 100).cast("long")  # two digits: never a tie
+    month, day = F.substring("ts_utc", 6, 2).cast("int"), F.substring("ts_utc", 9, 2).cast("int")
     return (SY.daily_series(_plan(spark, sf_dir), WIN)
-            .groupBy("station_id", "pollutant_id", "unit", "source", "year", F.month(day).alias("month"))
+            .groupBy("station_id", "pollutant_id", "unit", "source", "year", month.alias("month"))
             .agg(F.count(F.lit(1)).alias("n_days"), F.sum(cents).alias("sum_cents"),
                  F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-                 F.bit_xor(cents * F.dayofmonth(day)).alias("day_digest")))
+                 F.bit_xor(cents * day).alias("day_digest")))

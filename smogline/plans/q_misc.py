@@ -201,7 +201,8 @@ def q_output_check(spark, sf_dir):
     left("pollutants", CAT.pollutant_catalogue(spark))
     caps = left("station_capabilities", caps_c(spark, sf_dir, b, stations))
     plan = pin_table(_plan(spark, sf_dir, b, stations, caps), "plan")
-    series = SY.daily_series(plan, WIN, SY.generator_partitions(plan))
-    S.write_facts_by_year(series, f"{out}/measurements", rows_by_year=SY.days_by_year(plan))
+    files = S.files_by_year(SY.days_by_year(plan))
+    series = SY.daily_series(plan, WIN, SY.generator_partitions(plan), files)
+    S.write_facts_by_year(series, f"{out}/measurements", dealt=True)
     return S.output_check(spark, {n: f"{out}/{n}" for n in ("zones", "stations", "pollutants", "station_capabilities")},
                           f"{out}/measurements")

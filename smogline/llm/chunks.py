@@ -27,9 +27,9 @@ ANSWER = "chunk int, part int, level int, n int, body binary"
 
 
 def chunk_table(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = CHUNK_BYTES,
-                least: int | None = None) -> tuple[DataFrame, int]:
+                least: int | None = None, least_part: int = 0) -> tuple[DataFrame, int]:
     """(chunk, doc_id, text) as a table bucketed by chunk, and the number of hash parts. A small input has ``least``
-    chunks, by default two a bucket."""
+    chunks, by default two a bucket, and a part for each ``least_part`` bytes, by default one for each shuffle partition."""
     spark = docs.sparkSession
     rows = common.plain_rows(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
@@ -37,7 +37,8 @@ def chunk_table(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int =
     buckets = max(shuffle, int(total // (4 * CHUNK_BYTES)) + 1)
     chunks = max(least or 2 * buckets, int(total // chunk_bytes) + 1)
     rows = rows.withColumn("chunk", common.hash_part(F.xxhash64("doc_id", "text"), chunks, "chunk"))
-    return bucketed(rows, "chunk", buckets), max(shuffle, int(total // PART_BYTES) + 1)
+    few = min(shuffle, int(total // least_part) + 1) if least_part else shuffle
+    return bucketed(rows, "chunk", buckets), max(few, int(total // PART_BYTES) + 1)
 
 
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:

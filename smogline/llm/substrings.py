@@ -16,10 +16,11 @@ the suffix array is refined only where it is undecided:
 3. Second refinement. Where a side is shared, each kind is taken up once, from its smallest
    document, and the windows that lean to that side are refined to single names.
 
-Buckets are worked out by hash parts. Each chunk of documents asks about what
+Buckets, kinds, sides and windows are worked out by hash parts, each by a hash of its own, so the kinds and
+windows of a common bucket are spread over all parts. Each chunk of documents asks about what
 it holds once, however often it occurs there, so a passage that a third of all documents
-share costs a row per chunk. Runs are told apart by 64-bit names within 64-bit buckets, windows by
-64-bit names within their hash part.
+share costs a row per chunk. Runs and windows are told apart by 64-bit names within their hash part; a
+side by 32 bits, where a mistake only means that more windows are refined.
 
 Defined results: a null text counts as empty; rows with a null id lose nothing and
 nothing is removed on their account; rows with the same id are not smaller than each
@@ -38,6 +39,9 @@ from . import chunks, common
 WIDTH, QGRAM = 50, 16
 #: Windows whose anchors are worked out at once.
 STEP = 1 << 17
+#: Bytes of text that a hash part answers for at least: each chunk asks nearly every part, so on a small input with many
+#: shuffle partitions a part for each of them would mean more questions than documents.
+LEAST_PART = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LOW = (1 << 20) - 1
 
@@ -59,6 +63,16 @@ def name_at(x: np.ndarray, at: np.ndarray | slice, width: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def mixed(*keys: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the keys, even over its whole range; different single keys have different hashes."""
+    h = keys[0] * _A
+    for k in keys[1:]:
+        h = (h ^ (h >> np.uint64(29))) * _B + k * _A
+    h ^= h >> np.uint64(32)
+    h *= _B
+    return h ^ (h >> np.uint64(29))
+
+
 class Runs:
     """The anchors of a chunk's texts and the runs of windows that each stands for."""
 
@@ -97,7 +111,8 @@ class Runs:
             firsts.append(pick + s)
             anchors.append(at[pick] + s)
             owners.append(doc[pick])
-            names.append(h[at[pick]])
+            # an anchor has the least hash of its window, so as they are half of them lie in a fiftieth of the range
+            names.append(mixed(h[at[pick]]))
             held = int(at[-1]) + s
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.first, self.doc = join(firsts, np.int64), join(owners, np.int64)
@@ -138,14 +153,14 @@ def least_ids(ids: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndar
     return np.minimum.reduceat(ids[order], starts) if len(starts) else np.zeros(0, np.int64)
 
 
-def part_of(bucket: np.ndarray, parts: int) -> np.ndarray:
-    """Hash part of each bucket; grows with the bucket, so sorted buckets are grouped by part."""
-    return ((bucket >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+def part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """Hash part of each key, which must be even over 64 bits; grows with the key, so sorted keys are grouped by part."""
+    return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def by_part(chunk: int, bucket: np.ndarray, parts: int, *columns: np.ndarray) -> pa.Table:
-    """QUESTION rows of sorted buckets; the body holds the columns one after the other."""
-    part = part_of(bucket, parts)
+def by_part(chunk: int, key: np.ndarray, parts: int, *columns: np.ndarray, after: int = 0) -> pa.Table:
+    """QUESTION rows of sorted keys, for the parts from ``after`` on; the body holds the columns one after the other."""
+    part = part_of(key, parts) + after
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(0, int)
     return chunks.question_rows(chunk, [
         (int(part[b]), int(e - b), b"".join(np.ascontiguousarray(c[b:e]).tobytes() for c in columns))
@@ -192,26 +207,49 @@ class Refinement:
         return r.bucket[order[starts]], np.minimum.reduceat(own, starts) != np.maximum.reduceat(own, starts)
 
     def kinds(self, answers: pa.Table):
-        """Runs in shared buckets: sets ``pick`` (run numbers), ``kind`` (group number of each)
-        and gives (bucket, kind name, least id, names of both sides) of each group."""
+        """Runs in shared buckets: sets ``pick`` (run numbers), ``kind`` (group number of each) and ``first`` (a
+        run of each group), and gives (key, kind name, least id) of each group in the order of keys."""
         r = self.runs
         distinct, _ = self.buckets()
         shared = flags_told(answers, 0)
         self.pick = np.flatnonzero(shared[np.searchsorted(distinct, r.bucket)]) if len(distinct) else np.zeros(0, int)
         bucket, name = r.bucket[self.pick], r.kinds(self.pick)
-        order, starts = grouped(bucket, name)
+        key = mixed(bucket, name)
+        order, starts = grouped(key, name)
         self.kind = np.empty(len(order), np.int64)
         self.kind[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
         self.kind_id = least_ids(r.id[self.pick], order, starts)
         first = order[starts]
-        return bucket[first], name[first], self.kind_id, *r.sides(self.pick[first])
+        self.first, self.kind_name = self.pick[first], name[first]
+        return key[first], self.kind_name, self.kind_id
+
+    def sides(self):
+        """Sides of the kinds: sets ``side`` (group number of each kind's left and right side, -1 for none) and
+        gives (key, name of one kind that has it; its last bit tells whether several have) of each group in the
+        order of keys. Call ``kinds`` before."""
+        names = self.runs.sides(self.first)
+        held = [np.flatnonzero(n) for n in names]
+        bucket, kind = (np.concatenate([x[h] for h in held]) for x in (self.runs.bucket[self.first], self.kind_name))
+        key = mixed(bucket, np.concatenate([n[h].astype(np.uint64) << np.uint64(1) | np.uint64(right)
+                                            for right, (n, h) in enumerate(zip(names, held))]))
+        order, starts = grouped(key)
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+        self.side = [np.full(len(self.first), -1), np.full(len(self.first), -1)]
+        for side, h, at in zip(self.side, held, np.split(group, [len(held[0])])):
+            side[h] = at
+        if not len(starts):
+            return key, kind
+        least, most = np.minimum.reduceat(kind[order], starts), np.maximum.reduceat(kind[order], starts)
+        return key[order[starts]], least & ~np.uint64(1) | (least != most).astype(np.uint64)
 
     def windows(self, answers: pa.Table):
         """Windows of the kinds that are still undecided, from the kind's smallest document."""
         r = self.runs
         self.kinds(answers)
+        self.sides()
         self.later = flags_told(answers, 1)
-        left, right = flags_told(answers, 2), flags_told(answers, 3)
+        left, right = (np.append(flags_told(answers, 2), False)[side] for side in self.side)
         open_kind = (left | right) & ~self.later
         mine = np.flatnonzero(open_kind[self.kind] & (r.id[self.pick] == self.kind_id[self.kind])) if len(self.kind) else np.zeros(0, int)
         run, kind = self.pick[mine], self.kind[mine]
@@ -222,12 +260,13 @@ class Refinement:
         self.at = np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
         self.at_id = np.repeat(r.id[run], sizes)
         bucket, name = np.repeat(r.bucket[run], sizes), name_at(r.x, self.at, r.width)
-        order, starts = grouped(bucket, name)
+        key = mixed(bucket, name)
+        order, starts = grouped(key, name)
         self.window = np.empty(len(order), np.int64)
         self.window[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
         self.window_id = least_ids(self.at_id, order, starts)
         first = order[starts]
-        return bucket[first], name[first], self.window_id
+        return key[first], name[first], self.window_id
 
     def covered(self, answers: pa.Table) -> np.ndarray:
         """Whether each byte of the chunk goes."""
@@ -239,7 +278,7 @@ class Refinement:
             np.add.at(depth, r.first[whole], 1)
             np.add.at(depth, r.stop[whole] + r.width - 1, -1)
         if len(self.window):
-            single = self.at[flags_told(answers, 4)[self.window] | (self.at_id > self.window_id[self.window])]
+            single = self.at[flags_told(answers, 3)[self.window] | (self.at_id > self.window_id[self.window])]
             np.add.at(depth, single, 1)
             np.add.at(depth, single + r.width, -1)
         return np.cumsum(depth[:-1]) > 0
@@ -250,7 +289,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_bytes, n_removed, n_spans, kept binary): a row for each row of ``docs``."""
     if not 8 <= qgram <= width:
         raise ValueError("a q-gram has 8 to width bytes")
-    table, parts = chunks.chunk_table(docs, id_col, text_col)
+    table, parts = chunks.chunk_table(docs, id_col, text_col, least_part=LEAST_PART)
 
     def ask_buckets(docs, _):
         got = Refinement(docs, width, qgram)
@@ -269,41 +308,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not docs.num_rows:
             return chunks.question_rows(0, [])
         got = Refinement(docs, width, qgram)
-        bucket, *columns = got.kinds(answers)
-        return by_part(got.chunk, bucket, parts, bucket, *columns)
+        key, *columns = got.kinds(answers)
+        side, kind = got.sides()
+        return pa.concat_tables([by_part(got.chunk, key, parts, *columns), by_part(
+            got.chunk, side, parts, (side & np.uint64(0xFFFFFFFF)).astype("<u4"), kind, after=parts)])
+
+    def later_flags(rows, level):
+        asked, ns, (name, least) = columns_of(rows, "<u8", "<i8")
+        order, starts = grouped(name)
+        later = np.empty(len(name), bool)
+        later[order] = least[order] > np.repeat(least_ids(least, order, starts), np.diff(np.append(starts, len(order))))
+        return reply_flags(rows, level, later, asked, ns)
 
     def reply_kinds(rows):
-        asked, ns, (bucket, name, least, *sides) = columns_of(rows, "<u8", "<u8", "<i8", "<u4", "<u4")
-        order, starts = grouped(bucket, name)
-        sizes = np.diff(np.append(starts, len(order)))
-        flags = [least[order] > np.repeat(least_ids(least, order, starts), sizes)]
-        kinds = order[starts]
-        for side in sides:  # shared if another kind of the same bucket has the same side
-            at, firsts = grouped(bucket[kinds], side[kinds])
-            alike = np.empty(len(kinds), np.int64)
-            alike[at] = np.repeat(np.diff(np.append(firsts, len(at))), np.diff(np.append(firsts, len(at))))
-            flags.append(np.repeat((alike > 1) & (side[kinds] != 0), sizes))
-        out = []
-        for level, flag in enumerate(flags, 1):
-            placed = np.empty(len(bucket), bool)
-            placed[order] = flag
-            out.append(reply_flags(rows, level, placed, asked, ns))
-        return pa.concat_tables(out)
+        if rows.column("part")[0].as_py() < parts:
+            return later_flags(rows, 1)
+        asked, ns, (side, kind) = columns_of(rows, "<u4", "<u8")
+        order, starts = grouped(side)
+        several, kind = kind[order] & np.uint64(1), kind[order] >> np.uint64(1)
+        # shared if another kind of the same bucket has the same side
+        shared = (np.minimum.reduceat(kind, starts) != np.maximum.reduceat(kind, starts)) | (np.maximum.reduceat(several, starts) > 0)
+        flags = np.empty(len(side), bool)
+        flags[order] = np.repeat(shared, np.diff(np.append(starts, len(order))))
+        return reply_flags(rows, 2, flags, asked, ns)
 
     def ask_windows(docs, answers):
         if not docs.num_rows:
             return chunks.question_rows(0, [])
         got = Refinement(docs, width, qgram)
-        bucket, name, least = got.windows(answers)
-        # within a part, one name stands for bucket and window: a third less to move
-        return by_part(got.chunk, bucket, parts, (bucket ^ (name >> np.uint64(17))) * _A ^ name, least)
+        key, *columns = got.windows(answers)
+        return by_part(got.chunk, key, parts, *columns)
 
     def reply_windows(rows):
-        asked, ns, (name, least) = columns_of(rows, "<u8", "<i8")
-        order, starts = grouped(name)
-        later = np.empty(len(name), bool)
-        later[order] = least[order] > np.repeat(least_ids(least, order, starts), np.diff(np.append(starts, len(order))))
-        return reply_flags(rows, 4, later, asked, ns)
+        return later_flags(rows, 3)
 
     def cut(docs, answers):
         if not docs.num_rows:

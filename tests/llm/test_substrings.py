@@ -57,6 +57,51 @@ def test_windows_go_on_over_steps(monkeypatch):
         assert list(getattr(whole, k)) == list(getattr(cut, k))
 
 
+def refinement(texts):
+    """A chunk whose buckets are all met elsewhere too."""
+    import numpy as np
+    import pyarrow as pa
+    from smogline.llm import chunks
+    docs = pa.table({"chunk": pa.array([0] * len(texts), pa.int32()), "doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    got = substrings.Refinement(docs, 50, 16)
+    n = len(got.buckets()[0])
+    return got, chunks.answer_rows(0, 0, [(0, n, np.packbits(np.ones(n, bool)).tobytes())])
+
+
+def test_parts_are_even():
+    import numpy as np
+    rng = random.Random(4)
+    got, _ = refinement(["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(100)])
+    held = np.bincount(substrings.part_of(got.buckets()[0], 50), minlength=50)
+    assert held.max() < 2 * held.mean()
+
+
+def test_kinds_of_a_common_bucket_go_to_many_parts():
+    import numpy as np
+    rng = random.Random(5)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(60)
+    got, answers = refinement([some(100) + passage + some(100) for _ in range(300)])
+    key, *_ = got.kinds(answers)
+    bucket = got.runs.bucket[got.first]
+    values, counts = np.unique(bucket, return_counts=True)
+    common = bucket == values[counts.argmax()]
+    assert counts.max() > 100 and len(set(substrings.part_of(key[common], 50).tolist())) > 30
+    # a side that they share is asked about once, and known to have several kinds
+    side, kind = got.sides()
+    assert len(set(side.tolist())) == len(side) and (kind & np.uint64(1)).any()
+    assert min(len(set(at[common].tolist())) for at in got.side) < 10
+
+
+def test_several_parts_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "LEAST_PART", 100)
+    rng = random.Random(11)
+    pool = ["".join(rng.choice("abé ") for _ in range(rng.randrange(40, 140))) for _ in range(8)]
+    rows = [(rng.randrange(60), "".join(rng.choice(pool)[rng.randrange(12):] + "".join(rng.choice("abcd ") for _ in range(rng.randrange(60)))
+                                       for _ in range(rng.randrange(5)))) for _ in range(80)]
+    assert query(frame(spark, rows)) == plain(rows)
+
+
 def test_awkward_rows(spark):
     rows = AWKWARD + [(12, AWKWARD[0][1])]
     assert query(frame(spark, rows)) == plain(rows)
